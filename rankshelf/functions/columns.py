@@ -20,13 +20,17 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Fixed value: the characters Python's str.strip() treats as white space.
+WHITE_SPACE_CLASS = r"[\t\n\x{0b}\x{0c}\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
 def unicode_strip(c) -> Column:
     """``str.strip()``: drop leading and trailing Unicode white space.
 
     Spark's ``trim`` only removes ASCII spaces, so tabs, newlines and U+00A0
     would survive it.
     """
-    return F.regexp_replace(col_(c), r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(col_(c), f"^{WHITE_SPACE_CLASS}+|{WHITE_SPACE_CLASS}+$", "")
 
 
 def try_double(c) -> Column:
