@@ -12,7 +12,8 @@ from rankshelf.operators.ordering import top_n_per_group
 def genre_names(genres: DataFrame) -> DataFrame:
     """``(item_id, genre)``: map keys are comma-joined names, split and trimmed."""
     keys = genres.select("item_id", F.explode(F.map_keys("genres")).alias("key"))
-    return keys.select("item_id", F.trim(F.explode(F.split("key", r",\s*"))).alias("genre")).where(F.col("genre") != "")
+    names = keys.select("item_id", F.explode(F.split("key", r",\s*")).alias("genre"))
+    return names.select("item_id", F.trim("genre").alias("genre")).where(F.col("genre") != "").distinct()
 
 
 def master_table(items: DataFrame, item_authors: DataFrame, authors: DataFrame, genres: DataFrame, reads: DataFrame,

@@ -235,7 +235,7 @@ def q26_json_ingest(spark, d):
     path = scratch_dir(spark, "items-json") + "/items"
     io.write_items_json(t.items, path)
     items = io.items_from_json(io.read_items_json(spark, path, "PERMISSIVE"))
-    return items.select("item_id", "title", "average_rating", F.length("description").cast("bigint").alias("description_chars"))
+    return items.select("item_id", "title", "average_rating", F.coalesce(F.length("description"), F.lit(0)).cast("bigint").alias("description_chars"))
 
 
 def q27_description_filter(spark, d):
@@ -347,7 +347,7 @@ QUERIES = {name: fn for name, fn in sorted(globals().items()) if name[:1] == "q"
 
 _STRIP = f"regexp_replace(description, '^{WHITE_SPACE_CLASS}+|{WHITE_SPACE_CLASS}+$', '', 'g')"
 _DESCR = ("descr", f"SELECT item_id, t FROM (SELECT item_id, {_STRIP} AS t FROM items) WHERE t IS NOT NULL AND t <> ''")
-_TOKLIST = ("tl", f"SELECT item_id, list_filter(regexp_split_to_array(lower(t), '{O.TOKEN_SPLIT}'), x -> x <> '') AS toks FROM descr")
+_TOKLIST = ("tl", f"SELECT item_id, list_filter(regexp_split_to_array(lower(t), '{O.TOKEN_SPLIT}'), lambda x: x <> '') AS toks FROM descr")
 _TOKPOS = ("tp", "SELECT item_id, unnest(range(0, len(toks))) AS pos, unnest(toks) AS tok FROM tl")
 _BUCKET = "CAST(CAST(('0x' || substr(md5(tok), 1, 8)) AS BIGINT) % 64 AS INTEGER)"
 
@@ -475,7 +475,7 @@ JOIN (SELECT metric, avg(value) AS value FROM cm_per_user GROUP BY metric) c ON
     s["q25_missing_users"] = O.with_(["users", "reads"], """
 SELECT u.user_id FROM users u WHERE NOT EXISTS (SELECT 1 FROM reads r WHERE r.user_id = u.user_id)""")
     s["q26_json_ingest"] = O.with_(["items"], """
-SELECT item_id, title, average_rating, CAST(length(description) AS BIGINT) AS description_chars FROM items WHERE item_id IS NOT NULL""")
+SELECT item_id, title, average_rating, CAST(coalesce(length(description), 0) AS BIGINT) AS description_chars FROM items WHERE item_id IS NOT NULL""")
     s["q27_description_filter"] = O.with_(["items"], "SELECT item_id, CAST(length(t) AS BIGINT) AS n_chars FROM descr", [_DESCR])
     s["q28_embed_job"] = O.with_(["items"], f"""
 SELECT item_id, bucket, round(CAST(CAST(CAST(c AS DOUBLE) / sqrt(sum(c * c) OVER (PARTITION BY item_id)) AS FLOAT) AS DOUBLE), 6) AS weight

@@ -195,7 +195,7 @@ SELECT * FROM (VALUES ('NDCG@10', 'ndcg', 10), ('NDCG@20', 'ndcg', 20), ('Recall
 
 def dsum(x: str) -> str:
     """``D(x) = sum_{j=1..x} 1/log2(j+1)`` as a left fold (same order as the Spark side)."""
-    return f"list_reduce(list_prepend(0.0, list_transform(range(1, greatest({x}, 0) + 1), j -> 1.0 / log2(j + 1.0))), (acc, y) -> acc + y)"
+    return f"list_reduce(list_prepend(0.0, list_transform(range(1, greatest({x}, 0) + 1), lambda j: 1.0 / log2(j + 1.0))), lambda acc, y: acc + y)"
 
 
 def metrics_sql(preds_cte: str, truth_cte: str, users_cte: str, textbook: bool = False, ndcg_only: bool = False) -> list[tuple[str, str]]:
@@ -215,17 +215,17 @@ def metrics_sql(preds_cte: str, truth_cte: str, users_cte: str, textbook: bool =
                    LEFT JOIN npred np ON np.user_id = u.user_id LEFT JOIN hr ON hr.user_id = u.user_id"""),
         ("mb", """SELECT ev.user_id, ev.n_true, ev.n_pred, ev.hit_ranks, mv.metric, mv.kind, mv.k,
                          least(mv.k, ev.n_pred) AS m,
-                         len(list_filter(ev.hit_ranks, x -> x <= mv.k)) AS r
+                         len(list_filter(ev.hit_ranks, lambda x: x <= mv.k)) AS r
                   FROM ev CROSS JOIN mv"""),
     ]
     if textbook:
         ndcg = f"""CASE WHEN r = 0 THEN 0.0 ELSE
-                     list_reduce(list_prepend(0.0, list_transform(list_filter(hit_ranks, x -> x <= k), x -> 1.0 / log2(x + 1.0))), (acc, y) -> acc + y)
+                     list_reduce(list_prepend(0.0, list_transform(list_filter(hit_ranks, lambda x: x <= k), lambda x: 1.0 / log2(x + 1.0))), lambda acc, y: acc + y)
                      / {dsum('r')} END"""
     else:
         ndcg = f"""CASE WHEN r = 0 THEN 0.0 WHEN r = m THEN 1.0 ELSE
-                     CAST(len(list_filter(hit_ranks, x -> x <= r)) AS DOUBLE) / r
-                     + (CAST(r - len(list_filter(hit_ranks, x -> x <= r)) AS DOUBLE) / (m - r)) * ({dsum('m')} - {dsum('r')}) / {dsum('r')} END"""
+                     CAST(len(list_filter(hit_ranks, lambda x: x <= r)) AS DOUBLE) / r
+                     + (CAST(r - len(list_filter(hit_ranks, lambda x: x <= r)) AS DOUBLE) / (m - r)) * ({dsum('m')} - {dsum('r')}) / {dsum('r')} END"""
     extra.append(("per_user", f"""
 SELECT user_id, metric,
        CASE WHEN kind = 'ndcg' THEN (CASE WHEN m = 0 THEN 0.0 ELSE {ndcg} END)
