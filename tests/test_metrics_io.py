@@ -175,3 +175,21 @@ def test_pooling_modes(spark):
     assert len(first) == 1 and first[0].value == 1.0
     mean = sorted(round(r.value, 6) for r in pool(states, "query").collect())
     assert mean == [round(1 / 3, 6), round(2 / 3, 6)]
+
+
+def test_streaming_ingest_is_incremental(spark):
+    from rankshelf.streaming.ingest import start_read_filter
+
+    root = tempfile.mkdtemp(prefix="stream-")
+    src, out, ckpt = root + "/in", root + "/out", root + "/ckpt"
+    os.makedirs(src)
+    with open(src + "/a.csv", "w") as f:
+        f.write("user_id,item_id,is_read,rating,is_reviewed\n1,10,1,5,0\n1,11,0,3,0\n")
+    q = start_read_filter(spark, src, out, ckpt)
+    q.awaitTermination()
+    assert sorted((r.user_id, r.item_id) for r in spark.read.parquet(out).collect()) == [(1, 10)]
+    with open(src + "/b.csv", "w") as f:
+        f.write("user_id,item_id,is_read,rating,is_reviewed\n2,12,1,4,1\n")
+    q = start_read_filter(spark, src, out, ckpt)  # restart: only the new file is taken
+    q.awaitTermination()
+    assert sorted((r.user_id, r.item_id) for r in spark.read.parquet(out).collect()) == [(1, 10), (2, 12)]
