@@ -42,9 +42,15 @@ class HashingEncoder:
 
         self.dim = dim
         self._split = regex.compile(TOKEN_PATTERN).split
+        self._buckets: dict[str, int] = {}  # per-worker memo: vocabularies repeat across texts
 
     def bucket(self, token: str) -> int:
-        return int(hashlib.md5(token.encode("utf-8")).hexdigest()[:8], 16) % self.dim
+        b = self._buckets.get(token)
+        if b is None:
+            b = int(hashlib.md5(token.encode("utf-8")).hexdigest()[:8], 16) % self.dim
+            if len(self._buckets) < 1_000_000:
+                self._buckets[token] = b
+        return b
 
     def encode(self, texts: list[str], mode: str = "sentence") -> np.ndarray:
         check_mode(mode)
