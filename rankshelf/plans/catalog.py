@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankshelf.functions.columns import WHITE_SPACE_CLASS
-from rankshelf.operators.collaborative import collaborative, coread_counts, similar_users
+from rankshelf.operators.collaborative import collaborative, coread_counts, similar_user_counts
 from rankshelf.operators.content import CONTENT_EXTRA, content_based, cosine_knn, radius_union
 from rankshelf.operators.embed import (
     describable, embed, pool, token_states, vectors_long,
@@ -88,7 +88,7 @@ def q09_top_unread(spark, d):
 
 def q10_similar_users(spark, d):
     t = Tables(spark, d)
-    return similar_users(_warm(t), t.reads).groupBy("user_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_similar"))
+    return similar_user_counts(_warm(t), t.reads)
 
 
 def q11_coread_counts(spark, d):
