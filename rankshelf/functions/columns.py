@@ -30,7 +30,10 @@ def unicode_strip(c) -> Column:
     Spark's ``trim`` only removes ASCII spaces, so tabs, newlines and U+00A0
     would survive it.
     """
-    return F.regexp_replace(col_(c), f"^{WHITE_SPACE_CLASS}+|{WHITE_SPACE_CLASS}+$", "")
+    c = col_(c)
+    edge = F.concat(F.substring(c, 1, 1), F.substring(c, -1, 1))
+    # only texts that start or end with white space pay for the full regular expression
+    return F.when(edge.rlike(WHITE_SPACE_CLASS), F.regexp_replace(c, f"^{WHITE_SPACE_CLASS}+|{WHITE_SPACE_CLASS}+$", "")).otherwise(c)
 
 
 def try_double(c) -> Column:
