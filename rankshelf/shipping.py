@@ -33,5 +33,17 @@ def ship(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     full = os.path.join(folder, name)
                     zf.write(full, os.path.relpath(full, root))
-    sc.addPyFile(path)
+    sc.addPyFile(_to_shared(spark, path))
     _SHIPPED.add(key)
+
+
+def _to_shared(spark: SparkSession, local_zip: str) -> str:
+    """Copy the zip next to the session's checkpoint folder when that is on shared storage."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or ""
+    if "://" not in base or base.startswith("file:"):
+        return local_zip
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    dst = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{os.path.basename(local_zip)}")
+    dst.getFileSystem(conf).copyFromLocalFile(False, True, jvm.org.apache.hadoop.fs.Path("file://" + local_zip), dst)
+    return dst.toString()

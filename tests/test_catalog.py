@@ -51,3 +51,14 @@ def test_query_matches_oracle(spark, duck, key):
     duck_rows = _rows(duck.execute(E.oracle_sql()[key]).fetchdf())
     assert spark_rows[0] == duck_rows[0]
     assert spark_rows[1] == duck_rows[1]
+
+
+@pytest.mark.parametrize("key", sorted(E.queries()))
+def test_plan_has_no_cartesian_product(spark, key):
+    plan = E.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_read_filter_reaches_the_scan(spark):
+    plan = E.queries()["q01_read_filter"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(l_returnflag), Not(EqualTo(l_returnflag,R))" in plan
