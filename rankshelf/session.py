@@ -26,6 +26,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "ran
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("RANKSHELF_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
@@ -40,14 +41,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is;
     a machine-local folder is only made when the session has none (tests, local runs).
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="rankshelf-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return spark.sparkContext.getCheckpointDir() or current
+    sc = spark.sparkContext
+    existing = sc.getCheckpointDir()
+    if existing:
+        return existing
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="rankshelf-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -55,6 +55,8 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
     if base.startswith("file:"):
         base = base[len("file:"):]
+        while base.startswith("//"):
+            base = base[1:]
     if "://" in base:
         import uuid
 

@@ -39,7 +39,7 @@ def ship(spark: SparkSession) -> None:
 
 def _to_shared(spark: SparkSession, local_zip: str) -> str:
     """Copy the zip next to the session's checkpoint folder when that is on shared storage."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or ""
+    base = spark.sparkContext.getCheckpointDir() or ""
     if "://" not in base or base.startswith("file:"):
         return local_zip
     jvm = spark.sparkContext._jvm
