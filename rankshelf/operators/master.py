@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rankshelf.operators.embed import tokens
 from rankshelf.operators.ordering import top_n_per_group
-from rankshelf.session import ensure_checkpoint_dir
+from rankshelf.session import stage
 
 
 def genre_names(genres: DataFrame) -> DataFrame:
@@ -70,15 +70,12 @@ def tfidf(texts: DataFrame) -> DataFrame:
     """IDEA-4: ``(item_id, term, weight)``; tf = count, idf = ln((1+N)/(1+df)) + 1, L2-normalised per item.
 
     The term-frequency table feeds the document count, the document
-    frequencies and the weights, so it is checkpointed once instead of
-    tokenising every text three times.
+    frequencies and the weights, so it is staged once instead of tokenising
+    every text three times.
     """
-    ensure_checkpoint_dir(texts.sparkSession)
-    tf = (
-        tokens(texts)
-        .groupBy("item_id", F.col("token").alias("term"))
-        .agg(F.count(F.lit(1)).cast("double").alias("tf"))
-        .checkpoint()
+    tf = stage(
+        tokens(texts).groupBy("item_id", F.col("token").alias("term")).agg(F.count(F.lit(1)).cast("double").alias("tf")),
+        "tfidf-tf",
     )
     n_docs = tf.select("item_id").distinct().count()
     df_ = tf.groupBy("term").agg(F.count(F.lit(1)).cast("double").alias("df"))

@@ -63,3 +63,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     os.makedirs(base, exist_ok=True)
     return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+
+
+def stage(df, name: str):
+    """Write ``df`` as Parquet under the checkpoint folder and read it back.
+
+    Used for intermediate tables that are read several times: the plan runs
+    once, later readers scan compact columnar files (with pruning and size
+    statistics), and the lineage is cut, so a lost executor re-reads files
+    instead of recomputing the upstream stages.
+    """
+    path = scratch_dir(df.sparkSession, name) + "/data"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
