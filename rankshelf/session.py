@@ -29,6 +29,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "ran
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("RANKSHELF_DRIVER_MEMORY", "16g"))
     )
+    off_heap = os.environ.get("RANKSHELF_OFF_HEAP", "")
+    if off_heap:
+        builder = builder.config("spark.memory.offHeap.enabled", "true").config("spark.memory.offHeap.size", off_heap)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
