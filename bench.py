@@ -62,7 +62,6 @@ PROBES = {"probe_cf_top100": probe_cf_top100, "probe_knn_200x30": probe_knn_200x
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    os.environ.setdefault("RANKSHELF_OFF_HEAP", "8g")  # Tungsten pages off the GC heap (aggregation, sort)
     cpus = os.environ.get("BENCH_CPUS", "8")
     keys = [k for k in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE + list(PROBES))).split(",") if k]
     spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "64")), app="rankshelf-bench")
