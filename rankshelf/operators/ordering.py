@@ -2,8 +2,8 @@
 
 ``row_number() OVER (ORDER BY ...)`` with no ``PARTITION BY`` pulls the whole
 table into one task. ``global_rank`` instead range-partitions the rows on the
-sort key, numbers rows inside each partition and adds the row counts of the
-partitions before it (a table with one row per partition).
+sort key, numbers rows inside each partition, writes them once, and adds the
+row counts of the partitions before it (a table with one row per partition).
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankshelf.session import stage
+
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row index
 
 
@@ -32,12 +34,16 @@ def global_rank(
     ``total_col`` also attaches the row count of the whole input to every row.
     """
     parts = _num_partitions(df, num_partitions)
-    ranged = (
+    # The numbered rows are written once and read back: the partition sizes and the rows
+    # must come from the same range partitioning, and two evaluations of the plan could
+    # sample different range bounds (or differ after a lost executor).
+    ranged = stage(
         df.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
-        .withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid"), _LOCAL_BITS) + F.lit(1))
+        .withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid"), _LOCAL_BITS) + F.lit(1)),
+        "ranked",
     )
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: a bounded table, safe to order in one task and broadcast
