@@ -36,11 +36,6 @@ def unicode_strip(c) -> Column:
     return F.when(edge.rlike(WHITE_SPACE_CLASS), F.regexp_replace(c, f"^{WHITE_SPACE_CLASS}+|{WHITE_SPACE_CLASS}+$", "")).otherwise(c)
 
 
-def try_double(c) -> Column:
-    """String to DOUBLE; null where the text is not a number (ANSI-safe)."""
-    return F.expr(f"try_cast({c} AS DOUBLE)") if isinstance(c, str) else c.try_cast("double")
-
-
 def split_key(id_col, seed: str = DEFAULT_SEED) -> Column:
     """Repeatable shuffle key: ``md5(id || ':' || seed)``, identical in DuckDB."""
     return F.md5(F.concat(col_(id_col).cast("string"), F.lit(":" + str(seed))))

@@ -26,7 +26,7 @@ from rankshelf.operators.readlists import (
 )
 from rankshelf.plans import oracle_sql as O
 from rankshelf.plans.evaluate import EVAL_N, compare, test_users
-from rankshelf.plans.recommend import recommend
+from rankshelf.plans.recommend import adhoc_histories, recommend
 from rankshelf.session import scratch_dir
 from rankshelf.sources import io
 from rankshelf.sources.tables import Tables
@@ -174,13 +174,13 @@ def last_order_histories(reads: DataFrame) -> DataFrame:
     return (
         reads.join(last, "user_id")
         .where((F.col("seq.ts") == F.col("last.ts")) & (F.col("seq.order_key") == F.col("last.ok")))
-        .select("user_id", F.lit(None).cast("bigint").alias("pos"), "item_id")
+        .select("user_id", "item_id")
     )
 
 
 def q20_adhoc_history(spark, d):
     t = Tables(spark, d)
-    hist = last_order_histories(t.reads)
+    hist = adhoc_histories(last_order_histories(t.reads))
     out = recommend(distinct_users(t.reads), hist, t.reads, popular(t.items), t.embeddings, SERVE_N)
     return out.select("user_id", "rank", "item_id", r6("score").alias("score"))
 

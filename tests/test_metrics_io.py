@@ -207,3 +207,27 @@ def test_csv_ingest_explicit_and_inferred(spark):
         io.csv_to_parquet(spark, root + "/part-0.csv", root + "/pq")
     head = io.preview(out, ["user_id"], 1).collect()
     assert [(r.user_id, r.item_id) for r in head] == [(1, 10)]
+
+
+def test_sql_cosine_matches_numpy(spark):
+    import numpy as np
+
+    from rankshelf.functions.columns import cosine_distance_unit, normalize
+
+    rng = np.random.default_rng(1)
+    a, b = rng.normal(size=6), rng.normal(size=6)
+    df = spark.createDataFrame([(a.tolist(), b.tolist()), ([0.0] * 6, b.tolist())], "a array<double>, b array<double>")
+    got = [r.d for r in df.select(cosine_distance_unit(normalize("a"), normalize("b")).alias("d")).collect()]
+    want = 1 - a @ b / (np.linalg.norm(a) * np.linalg.norm(b))
+    assert got[0] == pytest.approx(want, abs=1e-12)
+    assert got[1] == pytest.approx(1.0)  # zero vector: distance 1
+
+
+def test_compare_report_line(spark):
+    from rankshelf.plans.evaluate import compare
+
+    w = spark.createDataFrame([("NDCG@10", 0.5)], "metric string, value double")
+    c = spark.createDataFrame([("NDCG@10", 0.25)], "metric string, value double")
+    row = compare(w, c, with_report=True).first()
+    assert row.difference == 0.25
+    assert row.report == "NDCG@10         0.5000 0.2500 0.2500"
