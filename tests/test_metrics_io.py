@@ -231,3 +231,16 @@ def test_compare_report_line(spark):
     row = compare(w, c, with_report=True).first()
     assert row.difference == 0.25
     assert row.report == "NDCG@10         0.5000 0.2500 0.2500"
+
+
+def test_checkpoint_folder_is_reused_and_public_api_imports(spark):
+    import rankshelf
+    from rankshelf.session import ensure_checkpoint_dir, scratch_dir, stage
+
+    first = ensure_checkpoint_dir(spark)
+    assert ensure_checkpoint_dir(spark) == first == spark.sparkContext.getCheckpointDir()
+    base = first[len("file:"):] if first.startswith("file:") else first
+    assert scratch_dir(spark, "t").startswith("/" + base.lstrip("/"))
+    staged = stage(spark.range(5), "api")
+    assert staged.count() == 5
+    assert callable(rankshelf.recommend) and "recommend" in rankshelf.__all__
