@@ -8,7 +8,9 @@ the benchmark and the command-line entry points.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -39,33 +41,38 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "ran
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder, setting a scratch one only if none is set.
+    """Return the cluster's shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is;
-    a machine-local folder is only made when the session has none (tests, local runs).
+    ``spark.checkpoint.dir`` names it and is used as is. Only a plain ``local``
+    session without that setting (tests, the benchmark) gets a scratch folder of
+    its own; on any other master a missing setting raises, because executors
+    could not read each other's machine-local files.
     """
     sc = spark.sparkContext
-    existing = sc.getCheckpointDir()
-    if existing:
-        return existing
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="rankshelf-ckpt-"))
+    if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder when the master is {sc.master}")
+        configured = tempfile.mkdtemp(prefix="rankshelf-ckpt-")
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-        while base.startswith("//"):
-            base = base[1:]
-    if "://" in base:
-        import uuid
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop file system and path object of ``path`` (works for any store Spark can write)."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
 
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared checkpoint folder, removed when the session's JVM ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    fs, jpath = _file_system(spark, path)
+    fs.mkdirs(jpath)
+    fs.deleteOnExit(jpath)
+    return path
 
 
 def stage(df, name: str):
@@ -78,4 +85,13 @@ def stage(df, name: str):
     """
     path = scratch_dir(df.sparkSession, name) + "/data"
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def unstage(*frames) -> None:
+    """Delete the files of frames returned by ``stage`` that no later plan reads."""
+    for df in frames:
+        fs, jpath = _file_system(df.sparkSession, df._staged_at)
+        fs.delete(jpath.getParent(), True)

@@ -239,8 +239,7 @@ def test_checkpoint_folder_is_reused_and_public_api_imports(spark):
 
     first = ensure_checkpoint_dir(spark)
     assert ensure_checkpoint_dir(spark) == first == spark.sparkContext.getCheckpointDir()
-    base = first[len("file:"):] if first.startswith("file:") else first
-    assert scratch_dir(spark, "t").startswith("/" + base.lstrip("/"))
+    assert scratch_dir(spark, "t").startswith(first)
     staged = stage(spark.range(5), "api")
     assert staged.count() == 5
     assert callable(rankshelf.recommend) and "recommend" in rankshelf.__all__
