@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankshelf.llm import exact_dedup, quality, secrets, url_filters
+from rankshelf.llm import exact_dedup, mixing, packing, quality, secrets, simhash, url_filters
 
 LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -34,6 +34,50 @@ FROM d WINDOW g AS (PARTITION BY t)
 """
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cell, calibrated probability and draw of every document."""
+    return mixing.mix(_table(spark, sf_dir, "documents")).select(
+        F.col("_row.doc_id").alias("doc_id"), *mixing.DIMENSIONS, "tokens", F.round("probability", 6).alias("probability"), "sampled"
+    )
+
+
+def _mixing_sql() -> str:
+    """The rounds of raking, written out one scaling after the other."""
+    count = "length(t) - length(regexp_replace(t, '[{}]', '', 'g'))"
+    steps, last = [], "w0"
+    for d in mixing.DIMENSIONS:
+        steps.append(f"""g_{d} AS (SELECT {d} AS value, p / sum(p) OVER () AS target FROM (
+  SELECT {d}, pow(sum(tokens) / (SELECT sum(tokens) FROM cells), {mixing.ALPHA}) AS p FROM cells GROUP BY {d}))""")
+    for n in range(mixing.ROUNDS):
+        for d in mixing.DIMENSIONS:
+            steps.append(f"""w{n}_{d} AS MATERIALIZED (SELECT source, lang, topic, tokens, w * target / sum(w) OVER (PARTITION BY {d}) AS w
+  FROM {last} JOIN g_{d} ON {last}.{d} = g_{d}.value)""")
+            last = f"w{n}_{d}"
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, coalesce(text, '') AS t FROM documents),
+d AS (
+  SELECT doc_id, source, lang, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) + 1 AS tokens,
+         CASE WHEN ({count.format("0-9")}) * 10 > length(t) THEN 'numbers'
+              WHEN ({count.format("#*$%&|<>")}) * 20 > length(t) THEN 'symbols'
+              WHEN ({count.format("A-Z")}) * 3 > length(t) THEN 'capitals'
+              WHEN ({count.format(chr(92) + "n")}) * 40 > length(t) THEN 'lists' ELSE 'prose' END AS topic
+  FROM t
+),
+cells AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM d GROUP BY ALL),
+w0 AS (SELECT *, tokens / (SELECT sum(tokens) FROM cells) AS w FROM cells),
+{", ".join(steps)},
+p AS (SELECT source, lang, topic, least(1.0, {mixing.RATE} * w * (SELECT sum(tokens) FROM cells) / tokens) AS probability FROM {last})
+SELECT doc_id, source, lang, topic, tokens, round(probability, 6) AS probability,
+       ('0x' || substr(md5('{mixing.SEED}:' || doc_id), 1, 13))::BIGINT / {float(1 << 52)!r}::DOUBLE < probability AS sampled
+FROM d JOIN p USING (source, lang, topic)
+"""
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and class of every document."""
+    return simhash.simhash_classes(_table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and digest of the base spans, list of all spans."""
     found = secrets.scan_secrets(_table(spark, sf_dir, "documents"))
@@ -46,6 +90,34 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bucket, batch and place of every document."""
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def packing_sql(documents: str = "documents") -> str:
+    """The dynamic program written out bucket by bucket over all pairs of lengths."""
+    k = packing.BUCKETS
+    layers = ["b0 AS (SELECT 0::BIGINT AS j, 0::HUGEINT AS cost, 0::BIGINT AS i)"]
+    for n in range(1, k + 1):
+        layers.append(f"""b{n} AS MATERIALIZED (SELECT j, pick.cost AS cost, pick.i AS i FROM (
+  SELECT h.j, min({{'cost': b.cost + h.l * (h.c - g.c) - (h.t - g.t), 'i': b.j}}) AS pick
+  FROM h JOIN b{n - 1} b ON b.j < h.j JOIN h0 g ON g.j = b.j GROUP BY h.j))""")
+    path = [f"p{k} AS (SELECT j, i FROM b{k} WHERE j = (SELECT max(j) FROM h))"]
+    path += [f"p{n} AS (SELECT b.j, b.i FROM b{n} b JOIN p{n + 1} p ON b.j = p.i)" for n in range(k - 1, 0, -1)]
+    return f"""
+WITH d AS (SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) + 1 AS n_tokens FROM {documents}),
+h AS MATERIALIZED (SELECT row_number() OVER o AS j, l, sum(n) OVER o AS c, sum(l * n) OVER o AS t
+  FROM (SELECT n_tokens AS l, count(*) AS n FROM d GROUP BY 1) WINDOW o AS (ORDER BY l)),
+h0 AS MATERIALIZED (SELECT j, c, t FROM h UNION ALL SELECT 0, 0, 0),
+{", ".join(layers)}, {", ".join(path)},
+tops AS (SELECT DISTINCT l FROM h WHERE j IN ({" UNION ALL ".join(f"SELECT j FROM p{n}" for n in range(1, k + 1))}) OR (SELECT max(j) FROM h) <= {k}),
+r AS (SELECT doc_id, n_tokens, (SELECT min(l) FROM tops WHERE l >= n_tokens) AS bucket FROM d),
+s AS (SELECT *, greatest(1, {packing.BUDGET} // bucket) AS room, row_number() OVER (PARTITION BY bucket ORDER BY doc_id, n_tokens) - 1 AS nth FROM r)
+SELECT doc_id, n_tokens, bucket, nth // room AS batch, nth % room AS slot, bucket - n_tokens AS padding FROM s
+"""
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
     return quality.quality_report(_table(spark, sf_dir, "documents"))
@@ -107,9 +179,18 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u L
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_mixing": op2_mixing,
+    "op5_simhash": op5_simhash,
     "op6_secret_scan": op6_secret_scan,
+    "op7_packing": op7_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filters": op10_url_filters,
 }
 
-ORACLE = {"op1_exact_dedup": OP1_SQL, "op9_quality_rules": OP9_SQL, "op10_url_filters": OP10_SQL}
+ORACLE = {
+    "op1_exact_dedup": OP1_SQL,
+    "op2_mixing": _mixing_sql(),
+    "op7_packing": packing_sql(),
+    "op9_quality_rules": OP9_SQL,
+    "op10_url_filters": OP10_SQL,
+}
