@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankshelf.llm import exact_dedup, mixing, packing, quality, secrets, simhash, url_filters
+from rankshelf.llm import exact_dedup, lm_scoring, mixing, packing, quality, secrets, simhash, url_filters
 
 LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -118,6 +118,11 @@ SELECT doc_id, n_tokens, bucket, nth // room AS batch, nth % room AS slot, bucke
 """
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base score and model score of every document."""
+    return lm_scoring.lm_scores(_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
     return quality.quality_report(_table(spark, sf_dir, "documents"))
@@ -183,6 +188,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_secret_scan": op6_secret_scan,
     "op7_packing": op7_packing,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filters": op10_url_filters,
 }
