@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankshelf.llm import exact_dedup, lm_scoring, mixing, packing, quality, secrets, simhash, url_filters
+from rankshelf.llm import exact_dedup, lm_scoring, mixing, packing, quality, secrets, simhash, suffix_dedup, url_filters
 
 LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -73,6 +73,14 @@ FROM d JOIN p USING (source, lang, topic)
 """
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to repeated strings of 400 bytes, and the digest of what stays."""
+    return suffix_dedup.strip_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and class of every document."""
     return simhash.simhash_classes(_table(spark, sf_dir, "documents"))
@@ -185,6 +193,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u L
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_simhash": op5_simhash,
     "op6_secret_scan": op6_secret_scan,
     "op7_packing": op7_packing,
