@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankshelf.llm import exact_dedup, lm_scoring, mixing, packing, quality, secrets, simhash, suffix_dedup, url_filters
+from rankshelf.llm import exact_dedup, lm_scoring, mixing, packing, quality, secrets, simhash, suffix_dedup, token_shards, url_filters
 
 LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -73,6 +73,13 @@ FROM d JOIN p USING (source, lang, topic)
 """
 
 
+def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all documents as shards in training order; every record as read back."""
+    return token_shards.training_order(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "seq_no", "slot", "shard", "n_tokens", F.xxhash64("ids").alias("ids_hash")
+    )
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document loses to repeated strings of 400 bytes, and the digest of what stays."""
     return suffix_dedup.strip_repeats(_table(spark, sf_dir, "documents")).select(
@@ -193,6 +200,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u L
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
+    "op3_token_shards": op3_token_shards,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_simhash": op5_simhash,
     "op6_secret_scan": op6_secret_scan,
