@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rankshelf.llm import exact_dedup, quality
+from rankshelf.llm import exact_dedup, mixing, packing, quality, simhash
 from rankshelf.session import stage
 
 
@@ -23,11 +23,30 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return exact_dedup.drop_exact_duplicates(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash class, the one with the smallest id."""
+    return simhash.drop_near_duplicates(docs)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn with probabilities that meet the source, language and topic targets."""
+    return mixing.sample_mix(docs)
+
+
+def packed_batches(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bucket, batch and place of every document that is left."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("exact dedup", exact_duplicates),
+    ("SimHash near-dedup", near_duplicates),
+    ("mixing sources to target weights", mixed_sources),
+    ("packing", packed_batches),
 ]
 
+# SQL has no XXH64 for the SimHash stage; the rows are tested against a plain version of all stages.
 ORACLE_SQL = None
 
 

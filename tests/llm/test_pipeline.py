@@ -1,0 +1,67 @@
+"""The corpus pipeline against a plain version of every stage."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+import corpus_pipeline as P
+from rankshelf.llm import mixing, queries
+from test_simhash import brute_classes, brute_fingerprint
+
+LOW = {c: c + 32 for c in range(65, 91)}
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def _sql(sql, docs):
+    con = duckdb.connect()
+    con.register("documents", docs)
+    return con.execute(sql).fetchdf()
+
+
+def brute(docs):
+    """pandas documents in, packed rows out."""
+    kept = _sql(queries.OP9_SQL, docs)
+    docs = docs[docs.doc_id.isin(kept[kept.kept].doc_id)]
+    docs = docs.assign(_t=docs.text.str.translate(LOW)).sort_values("doc_id").drop_duplicates("_t", keep="last").drop(columns="_t")
+    classes = brute_classes({i: brute_fingerprint(t) for i, t in zip(docs.doc_id, docs.text)})
+    docs = docs[[classes[i] == i for i in docs.doc_id]]
+    drawn = _sql(queries.ORACLE["op2_mixing"], docs)
+    docs = docs[docs.doc_id.isin(drawn[drawn.sampled].doc_id)]
+    return _sql(queries.packing_sql(), docs)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_run_matches_plain_stages(spark, sf):
+    folder = f"/root/testdata/{sf}"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").toPandas()
+    expect, got = brute(docs), P.run(spark, folder).toPandas()
+    order = lambda d: sorted(map(tuple, d[sorted(d.columns)].astype("int64").itertuples(index=False)))
+    assert sorted(got.columns) == sorted(expect.columns) and len(got) > 20
+    assert order(got) == order(expect)
+
+
+def test_stages_keep_the_columns_and_take_odd_rows(spark):
+    text = "Some words of an ordinary document number {} with enough of them to pass every rule. " * 6
+    rows = [(i, text.format(i) + " ".join(f"w{i}x{k}" for k in range(60)), "en", f"s{i % 3}", None) for i in range(30)]
+    rows += [rows[0], rows[1], (None, rows[2][1], None, None, 3), (99, None, None, None, None), (98, "", "", "", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for extra in (docs, docs.selectExpr("*", "'x' AS kept", "1 AS tokens", "2 AS probability", "3 AS n_words", "4 AS bucket")):
+        for _, stage in P.STAGES[:-1]:
+            assert stage(spark, extra, "").columns == extra.columns
+        assert P.STAGES[-1][1](spark, extra, "").count() == len(rows)
+    for name, stage in P.STAGES:
+        assert stage(spark, docs.limit(0), "").count() == 0, name
+    assert P.STAGES[1][1](spark, docs, "").count() == 31  # 30 texts and the empty one
+
+
+def test_raked_marginals_meet_the_targets(spark):
+    cells = [(s, l, t, 10.0 + 7 * i) for i, (s, l, t) in enumerate((s, l, t) for s in "ab" for l in "xyz" for t in "pq")]
+    table = spark.createDataFrame(cells, "source string, lang string, topic string, tokens double")
+    goal = {"source": {"a": 0.3, "b": 0.7}, "lang": {"x": 0.2, "y": 0.5, "z": 0.3}, "topic": {"p": 0.6, "q": 0.4}}
+    targets = {d: spark.createDataFrame(list(g.items()), "value string, target double") for d, g in goal.items()}
+    rows = mixing.rake(table, targets).collect()
+    total = sum(r.tokens * r.ratio for r in rows)
+    for d, g in goal.items():
+        for value, share in g.items():
+            assert abs(sum(r.tokens * r.ratio for r in rows if r[d] == value) / total - share) < 1e-6
