@@ -1,31 +1,33 @@
 """Description → embedding batch job (EMB-1..5) and token pooling.
 
-The encoder is a user-supplied factory, built once per Python worker and
-called on slices of ``batch_size`` texts inside ``mapInPandas``; Spark
-partitions the descriptions and Arrow moves the batches. The default encoder
-is a hashing encoder (token → md5 bucket, counts, L2 norm) that needs no model
-files; :func:`hashing_embed_sql` is its pure-SQL twin.
+The default encoder is a hashing encoder in plain SQL: a token's state is the
+one-hot vector of its md5 bucket. A user's encoder is a factory, built once per
+Python worker and called on slices of ``batch_size`` texts inside
+``mapInPandas``; it returns token states and a mask. For both, the mode chooses
+how the states of a text are pooled.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankshelf.functions.columns import unicode_strip
+from rankshelf.operators.ordering import global_rank
 from rankshelf.shipping import ship
+from rankshelf.sources import io
 
 MODES = ("sentence", "query")
 DEFAULT_DIM = 64
 ENCODER_BATCH = 2048  # descriptions per encoder call (fixed value of the reference)
+SHARD_ROWS = 1_048_576  # vectors per shard (fixed value of the reference)
 TOKEN_PATTERN = r"[^\p{L}\p{N}]+"
 
-_ENCODERS: dict = {}
+_ENCODERS: dict[str, object] = {}
 
 
 def check_mode(mode: str) -> None:
@@ -34,37 +36,20 @@ def check_mode(mode: str) -> None:
         raise ValueError(f"Invalid mode: {mode}")
 
 
-class HashingEncoder:
-    """Bag of hashed tokens: bucket = first 8 hex digits of md5(token) mod ``dim``; L2-normalised counts."""
+def encoder_of(key: str, factory: Callable[[], object]):
+    """The encoder of this worker: built at the first call with ``key``, kept for all later tasks."""
+    if key not in _ENCODERS:
+        _ENCODERS[key] = factory()
+    return _ENCODERS[key]
 
-    def __init__(self, dim: int = DEFAULT_DIM):
-        import regex
 
-        self.dim = dim
-        self._split = regex.compile(TOKEN_PATTERN).split
-        self._buckets: dict[str, int] = {}  # per-worker memo: vocabularies repeat across texts
-
-    def bucket(self, token: str) -> int:
-        b = self._buckets.get(token)
-        if b is None:
-            b = int(hashlib.md5(token.encode("utf-8")).hexdigest()[:8], 16) % self.dim
-            if len(self._buckets) < 1_000_000:
-                self._buckets[token] = b
-        return b
-
-    def encode(self, texts: list[str], mode: str = "sentence") -> np.ndarray:
-        check_mode(mode)
-        out = np.zeros((len(texts), self.dim), dtype=np.float64)
-        for row, text in enumerate(texts):
-            for tok in self._split(text.lower()):
-                if tok:
-                    out[row, self.bucket(tok)] += 1.0
-        norms = np.linalg.norm(out, axis=1)
-        return out / np.where(norms > 0, norms, 1.0)[:, None]
-
-
-def hashing_encoder_factory(dim: int = DEFAULT_DIM) -> Callable[[], HashingEncoder]:
-    return lambda: HashingEncoder(dim)
+def pooled(states: np.ndarray, mask: np.ndarray, mode: str) -> np.ndarray:
+    """EMB-2 / EMB-3 on arrays: states (texts, tokens, dim), mask (texts, tokens); zero where nothing is masked in."""
+    if mode == "sentence":
+        return states[:, 0, :]
+    weight = mask.astype(np.float64)[:, :, None]
+    total = weight.sum(axis=1)
+    return (states * weight).sum(axis=1) / np.where(total > 0, total, 1.0)
 
 
 def describable(items: DataFrame) -> DataFrame:
@@ -76,29 +61,55 @@ def describable(items: DataFrame) -> DataFrame:
 def embed(
     texts: DataFrame,
     encoder_factory: Callable[[], object] | None = None,
+    key: str | None = None,
     batch_size: int = ENCODER_BATCH,
     mode: str = "sentence",
-    factory_key: str = "hashing-64",
 ) -> DataFrame:
-    """EMB-1: ``(item_id, text)`` → ``(item_id, embedding ARRAY<FLOAT>)``."""
+    """EMB-1: ``(item_id, text)`` → ``(item_id, embedding ARRAY<FLOAT>)``.
+
+    A factory's encoder has ``encode(texts) -> (states, mask)``; ``key`` names it
+    within the workers and is required with a factory. Without one the hashing
+    encoder runs, whose pooled vectors are scaled to unit length.
+    """
     check_mode(mode)
+    if encoder_factory is None:
+        return hashing_embed(texts, mode)
+    if not key:
+        raise ValueError("an encoder factory needs a key")
     ship(texts.sparkSession)
-    factory = encoder_factory or hashing_encoder_factory()
 
     def run(batches):
-        enc = _ENCODERS.get(factory_key)
-        if enc is None:
-            enc = _ENCODERS[factory_key] = factory()
+        encoder = encoder_of(key, encoder_factory)
         for pdf in batches:
             ids = pdf["item_id"].to_numpy()
             docs = pdf["text"].tolist()
             for start in range(0, len(docs), batch_size):
-                vecs = np.asarray(enc.encode(docs[start:start + batch_size], mode), dtype=np.float32)
+                states, mask = encoder.encode(docs[start:start + batch_size])
+                vecs = pooled(np.asarray(states, np.float64), np.asarray(mask), mode).astype(np.float32)
                 yield pd.DataFrame({"item_id": ids[start:start + batch_size], "embedding": list(vecs)})
 
     return texts.select("item_id", "text").mapInPandas(run, "item_id bigint, embedding array<float>")
 
 
+def hashing_embed(texts: DataFrame, mode: str, dim: int = DEFAULT_DIM) -> DataFrame:
+    """EMB-5: the hashing encoder in SQL; at most ``dim`` values meet in one row."""
+    values = pool(token_states(texts, dim, mask=F.lit(1)), mode)
+    norm = F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy("item_id")))
+    unit = values.select("item_id", "dim", (F.col("value") / norm).cast("float").alias("v"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda d: F.coalesce(F.element_at(F.col("m"), d), F.lit(0.0).cast("float")))
+    known = unit.groupBy("item_id").agg(F.map_from_entries(F.collect_list(F.struct("dim", "v"))).alias("m")).select("item_id", dense.alias("embedding"))
+    empty = F.array_repeat(F.lit(0.0).cast("float"), dim)  # texts without a token
+    return texts.select("item_id").join(known, "item_id", "left").select("item_id", F.coalesce("embedding", empty).alias("embedding"))
+
+
+def embedding_job(spark, json_path: str, out_path: str, mode: str = "sentence", shard_rows: int = SHARD_ROWS, **encoder) -> None:
+    """The whole job: catalogue JSON lines → non-empty descriptions → vectors → shards of ``shard_rows`` in id order."""
+    items = io.items_from_json(io.read_items_json(spark, json_path, "DROPMALFORMED").drop("_corrupt_record"))
+    vectors = embed(describable(items), mode=mode, **encoder)
+    ranked = global_rank(vectors, [F.col("item_id")], "rn")
+    io.write_embedding_shards(ranked.withColumn("batch", F.expr(f"(rn - 1) div {shard_rows}")).drop("rn"), out_path)
+
+
 def tokens(texts: DataFrame) -> DataFrame:
     """``(item_id, pos, token)``, 0-based positions over the whole text."""
     parts = F.split(F.lower(F.col("text")), TOKEN_PATTERN)
@@ -110,28 +121,19 @@ def token_bucket(token_col) -> F.Column:
     return F.conv(F.substring(F.md5(token_col), 1, 8), 16, 10).cast("bigint")
 
 
-def hashing_embed_sql(texts: DataFrame, dim: int = DEFAULT_DIM) -> DataFrame:
-    """EMB-5 in SQL: long form ``(item_id, bucket, weight)`` of the hashing encoder."""
-    counts = (
-        tokens(texts)
-        .select("item_id", (token_bucket(F.col("token")) % dim).cast("int").alias("bucket"))
-        .groupBy("item_id", "bucket")
-        .agg(F.count(F.lit(1)).cast("double").alias("c"))
-    )
-    norms = counts.groupBy("item_id").agg(F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("nrm"))
-    return counts.join(norms, "item_id").select("item_id", "bucket", (F.col("c") / F.col("nrm")).alias("weight"))
-
-
 def vectors_long(vectors: DataFrame) -> DataFrame:
     """``(item_id, bucket, weight)`` for the non-zero entries of ``(item_id, embedding)``."""
     return vectors.select("item_id", F.posexplode("embedding").alias("bucket", "weight")).where(F.col("weight") != 0)
 
 
-def token_states(texts: DataFrame, dim: int = DEFAULT_DIM) -> DataFrame:
-    """Sparse per-token states ``(item_id, pos, dim, value, mask)``: one-hot of the token's bucket."""
+def token_states(texts: DataFrame, dim: int = DEFAULT_DIM, mask=None) -> DataFrame:
+    """Sparse per-token states ``(item_id, pos, dim, value, mask)``: one-hot of the token's bucket.
+
+    ``mask`` is a column over ``token``; by default tokens of one character are masked out.
+    """
+    mask = (F.length("token") > 1).cast("int") if mask is None else mask
     return tokens(texts).select(
-        "item_id", "pos", (token_bucket(F.col("token")) % dim).cast("int").alias("dim"),
-        F.lit(1.0).alias("value"), F.lit(1).alias("mask"),
+        "item_id", "pos", (token_bucket(F.col("token")) % dim).cast("int").alias("dim"), F.lit(1.0).alias("value"), mask.alias("mask")
     )
 
 
@@ -139,11 +141,12 @@ def pool(states: DataFrame, mode: str) -> DataFrame:
     """EMB-2 / EMB-3 on a long state table → ``(item_id, dim, value)``.
 
     ``sentence``: the state of the first token. ``query``: the masked mean
-    ``sum(mask * h) / sum(mask)`` over positions.
+    ``sum(mask * h) / sum(mask)`` over positions; no row where the mask is zero throughout.
     """
     check_mode(mode)
     if mode == "sentence":
         return states.where(F.col("pos") == 0).groupBy("item_id", "dim").agg(F.sum("value").alias("value"))
-    mask_total = states.select("item_id", "pos", "mask").distinct().groupBy("item_id").agg(F.sum("mask").alias("m"))
-    sums = states.groupBy("item_id", "dim").agg(F.sum(F.col("value") * F.col("mask")).alias("s"))
-    return sums.join(mask_total, "item_id").select("item_id", "dim", (F.col("s") / F.col("m")).alias("value"))
+    masked_in = states.where(F.col("mask") != 0)
+    totals = masked_in.select("item_id", "pos", "mask").distinct().groupBy("item_id").agg(F.sum("mask").alias("m"))
+    sums = masked_in.groupBy("item_id", "dim").agg(F.sum(F.col("value") * F.col("mask")).alias("s"))
+    return sums.join(totals, "item_id").select("item_id", "dim", (F.col("s") / F.col("m")).alias("value"))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankshelf.operators.embed import tokens
 from rankshelf.operators.ordering import top_n_per_group
-from rankshelf.session import stage
+from rankshelf.session import small_enough, stage
 
 
 def genre_names(genres: DataFrame) -> DataFrame:
@@ -19,7 +19,7 @@ def genre_names(genres: DataFrame) -> DataFrame:
 
 def master_table(items: DataFrame, item_authors: DataFrame, authors: DataFrame, genres: DataFrame, reads: DataFrame,
                  nest_interactions: bool = False) -> DataFrame:
-    """IDEA-1: one row per item with author records, genre names and reading facts.
+    """IDEA-1: one row per item with all its fields, author records, genre names and reading facts.
 
     Author and genre arrays are small per item. Interactions are summarised
     (reads, readers) by default; ``nest_interactions=True`` nests them as an
@@ -35,7 +35,7 @@ def master_table(items: DataFrame, item_authors: DataFrame, authors: DataFrame,
     facts = reads.groupBy("item_id").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_reads"), F.countDistinct("user_id").cast("bigint").alias("n_readers")
     )
-    out = items.select("item_id", "title", "average_rating").join(auth, "item_id", "left").join(gen, "item_id", "left").join(facts, "item_id", "left")
+    out = items.join(auth, "item_id", "left").join(gen, "item_id", "left").join(facts, "item_id", "left")
     if nest_interactions:
         nested = reads.groupBy("item_id").agg(
             F.collect_list(F.struct("user_id", "is_read", "rating", "is_reviewed")).alias("interactions")
@@ -45,19 +45,18 @@ def master_table(items: DataFrame, item_authors: DataFrame, authors: DataFrame,
 
 
 def flatten(items: DataFrame, item_authors: DataFrame, authors: DataFrame, genres: DataFrame) -> DataFrame:
-    """IDEA-2: one row per (item, author, genre); items without either keep a null."""
+    """IDEA-2: one row per (item, author, genre) with all item fields; items without either keep a null."""
     return (
-        items.select("item_id", "title")
-        .join(item_authors, "item_id", "left")
+        items.join(item_authors, "item_id", "left")
         .join(authors.select("author_id", F.col("name").alias("author_name")), "author_id", "left")
         .join(genre_names(genres), "item_id", "left")
-        .select("item_id", "title", "author_id", "author_name", "genre")
+        .select(*items.columns, "author_id", "author_name", "genre")
     )
 
 
-def genre_slice(flat: DataFrame, reads: DataFrame) -> DataFrame:
-    """IDEA-3: a smaller table derived from the flat one — per genre, items and reads."""
-    item_genre = flat.select("item_id", "genre").where(F.col("genre").isNotNull()).distinct()
+def genre_slice(items: DataFrame, genres: DataFrame, reads: DataFrame) -> DataFrame:
+    """IDEA-3: a smaller table — per genre, items and reads — from the item and genre columns alone."""
+    item_genre = genre_names(genres).join(items.select("item_id"), "item_id", "left_semi")
     per_item = reads.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
     return (
         item_genre.join(per_item, "item_id", "left")
@@ -78,12 +77,13 @@ def tfidf(texts: DataFrame) -> DataFrame:
         "tfidf-tf",
     )
     n_docs = tf.select("item_id").distinct().count()
-    df_ = tf.groupBy("term").agg(F.count(F.lit(1)).cast("double").alias("df"))
-    w = tf.join(df_, "term").select(
+    # one row per term; written, so that the join's two exchanges can be split where a term is in most texts
+    df_ = stage(tf.groupBy("term").agg(F.count(F.lit(1)).cast("double").alias("df")), "tfidf-df")
+    w = tf.join(F.broadcast(df_) if small_enough(df_) else df_, "term").select(
         "item_id", "term", (F.col("tf") * (F.log((F.lit(1.0 + n_docs)) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0))).alias("w")
     )
-    norms = w.groupBy("item_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("nrm"))
-    return w.join(norms, "item_id").select("item_id", "term", (F.col("w") / F.col("nrm")).alias("weight"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("item_id")))
+    return w.select("item_id", "term", (F.col("w") / norm).alias("weight"))
 
 
 def top_terms(weights: DataFrame, k: int = 5) -> DataFrame:

@@ -16,29 +16,21 @@ from rankshelf.session import stage
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row index
 
 
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def global_rank(
     df: DataFrame,
     order: list[Column],
     rank_col: str = "rank",
-    num_partitions: int | None = None,
     total_col: str | None = None,
 ) -> DataFrame:
     """Add a 1-based BIGINT rank in ``order``; ``order`` must be a total order (end it with an id).
 
     ``total_col`` also attaches the row count of the whole input to every row.
     """
-    parts = _num_partitions(df, num_partitions)
     # The numbered rows are written once and read back: the partition sizes and the rows
     # must come from the same range partitioning, and two evaluations of the plan could
     # sample different range bounds (or differ after a lost executor).
     ranged = stage(
-        df.repartitionByRange(parts, *order)
+        df.repartitionByRange(*order)  # no fixed count: adaptive execution merges small ranges
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
@@ -67,8 +59,9 @@ def top_n_per_group(
     n,
     rank_col: str = "rank",
 ) -> DataFrame:
-    """``row_number() <= n`` per group; Spark plans a partial WindowGroupLimit for literal n."""
+    """``row_number() <= n`` per group (all rows for None); Spark plans a partial WindowGroupLimit for literal n."""
     w = Window.partitionBy(*group_cols).orderBy(*order)
     ranked = df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
-    limit = F.lit(n) if isinstance(n, int) else n
-    return ranked.where(F.col(rank_col) <= limit)
+    if n is None:
+        return ranked
+    return ranked.where(F.col(rank_col) <= (F.lit(n) if isinstance(n, int) else n))

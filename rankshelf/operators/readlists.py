@@ -37,9 +37,14 @@ def user_read_lists(reads: DataFrame) -> DataFrame:
     )
 
 
-def item_reader_lists(reads: DataFrame) -> DataFrame:
-    """AGG-3 in the reference's shape: ``(item_id, users ARRAY<BIGINT>)`` sorted by user id."""
-    return reads.groupBy("item_id").agg(F.array_sort(F.collect_list("user_id")).alias("users"))
+def item_readers(reads: DataFrame) -> DataFrame:
+    """AGG-3 in row form: ``(item_id, pos, user_id)``, each item's readers in order of id, repeats kept.
+
+    Numbered by the global rank, so an item that everybody reads is spread over many tasks.
+    """
+    ranked = global_rank(reads.select("item_id", "user_id"), [F.col("item_id"), F.col("user_id")], "rn")
+    first = ranked.groupBy("item_id").agg(F.min("rn").alias("first"))
+    return ranked.join(first, "item_id").select("item_id", (F.col("rn") - F.col("first") + 1).alias("pos"), "user_id")
 
 
 def read_list_summary(reads: DataFrame) -> DataFrame:

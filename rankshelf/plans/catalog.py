@@ -13,27 +13,25 @@ from pyspark.sql import functions as F
 from rankshelf.functions.columns import WHITE_SPACE_CLASS
 from rankshelf.operators.collaborative import collaborative, coread_counts, similar_user_counts
 from rankshelf.operators.content import CONTENT_EXTRA, content_based, cosine_knn, radius_union
-from rankshelf.operators.embed import (
-    describable, embed, pool, token_states, vectors_long,
-)
+from rankshelf.operators.embed import describable, embed, embedding_job, pool, token_states, vectors_long
 from rankshelf.operators.fusion import fusion_weights, rrf, stack_rankings
 from rankshelf.operators.master import flatten, genre_slice, master_table, tfidf, top_terms
-from rankshelf.operators.metrics import METRICS, mean_metrics, ranking_metrics
+from rankshelf.operators.metrics import METRICS, mean_metrics
 from rankshelf.operators.ordering import global_rank
 from rankshelf.operators.popularity import popular, top_unread
 from rankshelf.operators.readlists import (
-    distinct_users, history_holdout, histories_of, holdouts_of, read_list_summary, reader_summary, split_ids,
+    distinct_users, history_holdout, histories_of, item_readers, read_list_summary, reader_summary, split_ids,
 )
 from rankshelf.plans import oracle_sql as O
-from rankshelf.plans.evaluate import EVAL_N, compare, test_users
+from rankshelf.plans.evaluate import EVAL_N, cold_per_user, compare, evaluate, test_users, warm_per_user
 from rankshelf.plans.recommend import adhoc_histories, recommend
-from rankshelf.session import scratch_dir
+from rankshelf.session import scratch_dir, stage
 from rankshelf.sources import io
 from rankshelf.sources.tables import Tables
 
 SERVE_N = 10  # list length served by default (fixed value of the reference)
 RADIUS = 0.7  # cosine distance radius of the neighbourhood-union query
-SHARD_ROWS = 256  # rows per embedding shard in the shard and totals queries
+TOTAL_ROWS = 256  # vectors per batch in the shard and totals queries, small enough to make several
 TOP_TERMS = 5
 
 
@@ -136,10 +134,10 @@ def q15_content_topn(spark, d):
 # ---- fusion and hybrid ------------------------------------------------------------
 
 def _three(t: Tables, n: int):
-    hist = _warm(t)
+    hist = stage(histories_of(t.reads_once), "histories")
     return (
         top_unread(popular(t.items), t.users, hist, n),
-        collaborative(hist, t.reads, n),
+        collaborative(hist, t.reads_once, n),
         content_based(hist, t.embeddings, n),
     )
 
@@ -156,16 +154,17 @@ def q17_popularity_weight(spark, d):
     return w.select("user_id", "history_len", r6("w0").alias("w0"), r6("w1").alias("w1"), r6("w2").alias("w2"))
 
 
-def q18_weighted_rrf(spark, d):
-    t = Tables(spark, d)
-    out = recommend(t.users, _warm(t), t.reads, popular(t.items), t.embeddings, SERVE_N, weighted=True)
+def _hybrid(t: Tables, weighted: bool = False) -> DataFrame:
+    out = recommend(t.users, histories_of(t.reads_once), t.reads_once, popular(t.items), t.embeddings, SERVE_N, weighted=weighted)
     return out.select("user_id", "rank", "item_id", r6("score").alias("score"))
 
 
+def q18_weighted_rrf(spark, d):
+    return _hybrid(Tables(spark, d), weighted=True)
+
+
 def q19_hybrid(spark, d):
-    t = Tables(spark, d)
-    out = recommend(t.users, _warm(t), t.reads, popular(t.items), t.embeddings, SERVE_N)
-    return out.select("user_id", "rank", "item_id", r6("score").alias("score"))
+    return _hybrid(Tables(spark, d))
 
 
 def last_order_histories(reads: DataFrame) -> DataFrame:
@@ -180,62 +179,75 @@ def last_order_histories(reads: DataFrame) -> DataFrame:
 
 def q20_adhoc_history(spark, d):
     t = Tables(spark, d)
-    hist = adhoc_histories(last_order_histories(t.reads))
-    out = recommend(distinct_users(t.reads), hist, t.reads, popular(t.items), t.embeddings, SERVE_N)
+    hist = adhoc_histories(last_order_histories(t.reads_once))
+    out = recommend(distinct_users(t.reads_once), hist, t.reads_once, popular(t.items), t.embeddings, SERVE_N)
     return out.select("user_id", "rank", "item_id", r6("score").alias("score"))
 
 
 # ---- evaluation ----------------------------------------------------------------------
 
-def _warm_per_user(t: Tables, metrics=None, ndcg_form: str = "reference") -> DataFrame:
-    users = test_users(t.reads)
-    user_reads = t.reads.join(users, "user_id", "left_semi")
-    hist = histories_of(user_reads)
-    preds = recommend(users, hist, t.reads, popular(t.items), t.embeddings, EVAL_N)
-    return ranking_metrics(preds, holdouts_of(user_reads), users, metrics, ndcg_form)
+def _test_users(t: Tables) -> DataFrame:
+    return stage(test_users(t.reads_once), "test-users")
+
 
+def _warm_users(t: Tables, metrics=None, ndcg_form: str = "reference") -> DataFrame:
+    return warm_per_user(_test_users(t), t.reads_once, popular(t.items), t.embeddings, metrics=metrics, ndcg_form=ndcg_form)
 
-def _cold_per_user(t: Tables) -> DataFrame:
-    users = test_users(t.reads)
-    user_reads = t.reads.join(users, "user_id", "left_semi").select("user_id", "item_id")
-    preds = top_unread(popular(t.items), users, user_reads.limit(0), EVAL_N)
-    return ranking_metrics(preds, user_reads, users)
+
+def _evaluated(t: Tables):
+    return evaluate(_test_users(t), t.reads_once, popular(t.items), t.embeddings)
 
 
 def q21_metrics_per_user(spark, d):
-    return _warm_per_user(Tables(spark, d)).select("user_id", "metric", r6("value").alias("value"))
+    return _warm_users(Tables(spark, d)).select("user_id", "metric", r6("value").alias("value"))
 
 
 def q22_eval_warm(spark, d):
-    m = mean_metrics(_warm_per_user(Tables(spark, d)))
+    m = mean_metrics(_warm_users(Tables(spark, d)))
     return m.select("metric", r6("value").alias("value"), "n_users")
 
 
 def q23_eval_cold(spark, d):
-    m = mean_metrics(_cold_per_user(Tables(spark, d)))
+    t = Tables(spark, d)
+    m = mean_metrics(cold_per_user(_test_users(t), t.reads_once, popular(t.items)))
     return m.select("metric", r6("value").alias("value"), "n_users")
 
 
 def q24_compare(spark, d):
-    t = Tables(spark, d)
-    c = compare(mean_metrics(_warm_per_user(t)), mean_metrics(_cold_per_user(t)))
-    return c.select("metric", r6("regular").alias("regular"), r6("cold_start").alias("cold_start"),
-                    r6("difference").alias("difference"))
+    warm, cold, _ = _evaluated(Tables(spark, d))
+    return compare(warm, cold, with_report=True).select(
+        "metric", r6("regular").alias("regular"), r6("cold_start").alias("cold_start"), r6("difference").alias("difference"), "report"
+    )
 
 
 def q25_missing_users(spark, d):
+    """Wanted users without a read list; every 50th customer stands under an id nobody reads with, too."""
     t = Tables(spark, d)
-    return t.users.join(t.reads.select("user_id"), "user_id", "left_anti")
+    wanted = t.users.unionByName(t.users.where("user_id % 50 = 0").select((-F.col("user_id")).alias("user_id")))
+    return wanted.join(t.reads.select("user_id"), "user_id", "left_anti")
 
 
 # ---- sources / sinks / stages --------------------------------------------------------
 
 def q26_json_ingest(spark, d):
+    """All fields of the catalogue through JSON lines, beside lines that are broken, blank or without a usable id."""
     t = Tables(spark, d)
-    path = scratch_dir(spark, "items-json") + "/items"
-    io.write_items_json(t.items, path)
-    items = io.items_from_json(io.read_items_json(spark, path, "PERMISSIVE"))
-    return items.select("item_id", "title", "average_rating", F.coalesce(F.length("description"), F.lit(0)).cast("bigint").alias("description_chars"))
+    root = scratch_dir(spark, "items-json")
+    shelf = lambda name: F.struct(F.col("item_id").cast("string").alias("count"), F.lit(name).alias("name"))
+    full = t.items.withColumns({
+        "series": F.array(F.col("title"), F.lit("s")),
+        "popular_shelves": F.array(shelf("to-read"), shelf("owned")),
+        "authors": F.array(F.struct(F.concat(F.lit("a"), F.col("item_id")).alias("author_id"), F.lit("").alias("role"))),
+    })
+    io.write_items_json(full, root + "/items")
+    odd = ["{\"book_id\": \"1\", broken", " ", "{\"book_id\": null, \"title\": \"t\"}", "{\"title\": \"t\"}", "{\"book_id\": \"abc\"}"]
+    spark.createDataFrame([(x,) for x in odd], "value string").write.mode("append").text(root + "/items")
+    items = io.items_from_json(io.read_items_json(spark, root + "/items", "PERMISSIVE"))
+    return items.select(
+        "item_id", "title", "average_rating", F.coalesce(F.length("description"), F.lit(0)).cast("bigint").alias("description_chars"),
+        F.array_join("series", "|").alias("series"), F.element_at("authors", 1)["author_id"].alias("author"),
+        F.array_join(F.transform("popular_shelves", lambda x: F.concat_ws("=", x["name"], x["count"])), "|").alias("shelves"),
+    )
 
 
 def q27_description_filter(spark, d):
@@ -243,13 +255,13 @@ def q27_description_filter(spark, d):
 
 
 def q28_embed_job(spark, d):
-    vecs = embed(describable(Tables(spark, d).items))
+    vecs = embed(describable(Tables(spark, d).items), mode="query")
     return vectors_long(vecs).select("item_id", F.col("bucket").cast("int").alias("bucket"),
                                      r6(F.col("weight").cast("double")).alias("weight"))
 
 
 def q29_pooling(spark, d):
-    states = token_states(describable(Tables(spark, d).items))
+    states = stage(token_states(describable(Tables(spark, d).items)), "states")
     out = None
     for mode in ("sentence", "query"):
         p = pool(states, mode).select("item_id", F.lit(mode).alias("mode"), "dim", r6("value").alias("value"))
@@ -261,10 +273,9 @@ def q30_merge_shards(spark, d):
     t = Tables(spark, d)
     root = scratch_dir(spark, "emb-shards")
     ranked = global_rank(t.embeddings, [F.col("item_id")], "rn")
-    shards = ranked.withColumn("batch", ((F.col("rn") - 1) / SHARD_ROWS).cast("bigint")).drop("rn")
-    io.write_embedding_shards(shards, root + "/shards")
+    io.write_embedding_shards(ranked.withColumn("batch", F.expr(f"(rn - 1) div {TOTAL_ROWS}")).drop("rn"), root + "/shards")
     merged = io.merge_shards(spark, root + "/shards")
-    return merged.select("item_id", F.size("embedding").alias("dims"), F.element_at("embedding", 1).cast("double").alias("first_value"))
+    return merged.select("item_id", F.col("batch").cast("bigint").alias("batch"), F.posexplode("embedding").alias("place", "value")).withColumn("value", r6(F.col("value").cast("double")))
 
 
 def q31_csv_ingest(spark, d):
@@ -277,30 +288,31 @@ def q31_csv_ingest(spark, d):
 def q32_materialise_once(spark, d):
     t = Tables(spark, d)
     path = scratch_dir(spark, "stage") + "/popularity"
-    io.materialise(spark, path, lambda: popular(t.items))
+    io.write_parquet(t.users, path)
+    io.write_parquet(popular(t.items).limit(0), path, "overwrite", single_file=True)  # replaced by a later write
+    io.write_parquet(popular(t.items), path, "overwrite")
+    io.materialise(spark, path, lambda: t.users)
     return io.materialise(spark, path, lambda: popular(t.items))  # second call reads the stored stage
 
 
 def q33_textbook_ndcg(spark, d):
     ndcg = [m for m in METRICS if m[1] == "ndcg"]
-    return _warm_per_user(Tables(spark, d), ndcg, "textbook").select("user_id", "metric", r6("value").alias("value"))
+    return _warm_users(Tables(spark, d), ndcg, "textbook").select("user_id", "metric", r6("value").alias("value"))
 
 
 def q34_metric_sink(spark, d):
     t = Tables(spark, d)
     path = scratch_dir(spark, "metrics") + "/runs"
     run = "r1"
-    io.append_metrics(mean_metrics(_warm_per_user(t)), path, run, "warm")
-    io.append_metrics(mean_metrics(_cold_per_user(t)), path, run, "cold")
+    warm, cold, _ = _evaluated(t)
+    io.append_metrics(warm, path, run, "warm")
+    io.append_metrics(cold, path, run, "cold")
     return spark.read.parquet(path).select("run", "scenario", "metric", r6("value").alias("value"))
 
 
 def q35_embedding_totals(spark, d):
-    vecs = embed(describable(Tables(spark, d).items))
-    ranked = global_rank(vecs, [F.col("item_id")], "rn")
-    return ranked.groupBy(((F.col("rn") - 1) / SHARD_ROWS).cast("bigint").alias("batch")).agg(
-        F.count(F.lit(1)).cast("bigint").alias("n_rows"), F.max(F.size("embedding")).alias("dims")
-    )
+    ranked = global_rank(describable(Tables(spark, d).items).select("item_id"), [F.col("item_id")], "rn")
+    return ranked.groupBy(F.expr(f"(rn - 1) div {TOTAL_ROWS}").alias("batch")).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
 
 
 # ---- ideas tier ------------------------------------------------------------------------
@@ -309,9 +321,9 @@ def q36_master_table(spark, d):
     t = Tables(spark, d)
     m = master_table(t.items, t.item_authors, t.authors, t.genres, t.reads)
     return m.select(
-        "item_id", "title",
-        F.coalesce(F.size("authors"), F.lit(0)).cast("bigint").alias("n_authors"),
-        F.coalesce(F.size("genres"), F.lit(0)).cast("bigint").alias("n_genres"),
+        "item_id", "title", "average_rating", F.coalesce(F.length("description"), F.lit(0)).cast("bigint").alias("description_chars"),
+        F.coalesce(F.array_join(F.transform("authors", lambda a: F.concat_ws("=", a["author_id"], a["name"])), "|"), F.lit("")).alias("authors"),
+        F.coalesce(F.array_join("genres", "|"), F.lit("")).alias("genres"),
         F.coalesce(F.col("n_reads"), F.lit(0)).cast("bigint").alias("n_reads"),
         F.coalesce(F.col("n_readers"), F.lit(0)).cast("bigint").alias("n_readers"),
     )
@@ -319,12 +331,13 @@ def q36_master_table(spark, d):
 
 def q37_flatten(spark, d):
     t = Tables(spark, d)
-    return flatten(t.items, t.item_authors, t.authors, t.genres)
+    flat = flatten(t.items, t.item_authors, t.authors, t.genres)
+    return flat.select("item_id", "title", "average_rating", "author_id", "author_name", "genre")
 
 
 def q38_master_slices(spark, d):
     t = Tables(spark, d)
-    return genre_slice(flatten(t.items, t.item_authors, t.authors, t.genres), t.reads)
+    return genre_slice(t.items, t.genres, t.reads)
 
 
 def q39_tfidf(spark, d):
@@ -338,6 +351,33 @@ def q40_radius(spark, d):
     return near.groupBy("user_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_within"))
 
 
+# ---- single behaviours ---------------------------------------------------------------
+
+def q41_first_test_users(spark, d):
+    """RNK-9: the first ten test users in shuffle order."""
+    return test_users(Tables(spark, d).reads, num_users=10)
+
+
+def q42_preview(spark, d):
+    """PRJ-4: the head of the read interactions."""
+    return io.preview(Tables(spark, d).reads.select("user_id", "item_id", "rating"), ["user_id", "item_id", "rating"], 20)
+
+
+def q43_item_readers(spark, d):
+    """AGG-3 in row form: every item's readers with their places."""
+    return item_readers(Tables(spark, d).reads)
+
+
+def q44_embedding_job(spark, d):
+    """The embedding job from JSON lines to merged shards."""
+    root = scratch_dir(spark, "embedding-job")
+    io.write_items_json(Tables(spark, d).items, root + "/items")
+    embedding_job(spark, root + "/items", root + "/vectors", mode="query")
+    return vectors_long(io.merge_shards(spark, root + "/vectors")).select(
+        "item_id", F.col("bucket").cast("int").alias("bucket"), r6(F.col("weight").cast("double")).alias("weight")
+    )
+
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name[:1] == "q" and name[1:3].isdigit()}
 
 
@@ -469,25 +509,31 @@ SELECT metric, round(avg(value), 6) AS value, count(*) AS n_users FROM per_user
     wx = _means("wm", (names, extra))
     cx = _means("cm", (cnames, cextra))
     s["q24_compare"] = O.with_(names + cnames, """
-SELECT w.metric, round(w.value, 6) AS regular, round(c.value, 6) AS cold_start, round(w.value - c.value, 6) AS difference
+SELECT w.metric, round(w.value, 6) AS regular, round(c.value, 6) AS cold_start, round(w.value - c.value, 6) AS difference,
+       rpad(w.metric, 15, ' ') || printf(' %.4f %.4f %.4f', w.value, c.value, w.value - c.value) AS report
 FROM (SELECT metric, avg(value) AS value FROM wm_per_user GROUP BY metric) w
 JOIN (SELECT metric, avg(value) AS value FROM cm_per_user GROUP BY metric) c ON w.metric = c.metric""", wx + cx)
     s["q25_missing_users"] = O.with_(["users", "reads"], """
-SELECT u.user_id FROM users u WHERE NOT EXISTS (SELECT 1 FROM reads r WHERE r.user_id = u.user_id)""")
+SELECT u.user_id FROM (SELECT user_id FROM users UNION ALL SELECT -user_id FROM users WHERE user_id % 50 = 0) u
+WHERE NOT EXISTS (SELECT 1 FROM reads r WHERE r.user_id = u.user_id)""")
     s["q26_json_ingest"] = O.with_(["items"], """
-SELECT item_id, title, average_rating, CAST(coalesce(length(description), 0) AS BIGINT) AS description_chars FROM items WHERE item_id IS NOT NULL""")
+SELECT item_id, title, average_rating, CAST(coalesce(length(description), 0) AS BIGINT) AS description_chars,
+       concat_ws('|', title, 's') AS series, 'a' || item_id AS author, 'to-read=' || item_id || '|owned=' || item_id AS shelves
+FROM items WHERE item_id IS NOT NULL""")
     s["q27_description_filter"] = O.with_(["items"], "SELECT item_id, CAST(length(t) AS BIGINT) AS n_chars FROM descr", [_DESCR])
     s["q28_embed_job"] = O.with_(["items"], f"""
 SELECT item_id, bucket, round(CAST(CAST(CAST(c AS DOUBLE) / sqrt(sum(c * c) OVER (PARTITION BY item_id)) AS FLOAT) AS DOUBLE), 6) AS weight
 FROM (SELECT item_id, {_BUCKET} AS bucket, count(*) AS c FROM tp GROUP BY ALL)""", [_DESCR, _TOKLIST, _TOKPOS])
+    s["q44_embedding_job"] = s["q28_embed_job"]
     s["q29_pooling"] = O.with_(["items"], f"""
 SELECT item_id, 'sentence' AS mode, {_BUCKET} AS dim, CAST(1.0 AS DOUBLE) AS value FROM tp WHERE pos = 0
 UNION ALL
 SELECT b.item_id, 'query' AS mode, b.dim, round(CAST(b.c AS DOUBLE) / CAST(n.m AS DOUBLE), 6) AS value
-FROM (SELECT item_id, {_BUCKET} AS dim, count(*) AS c FROM tp GROUP BY ALL) b
-JOIN (SELECT item_id, count(*) AS m FROM tp GROUP BY item_id) n ON n.item_id = b.item_id""", [_DESCR, _TOKLIST, _TOKPOS])
-    s["q30_merge_shards"] = O.with_(["emb"], """
-SELECT item_id, CAST(len(embedding) AS INTEGER) AS dims, CAST(embedding[1] AS DOUBLE) AS first_value FROM emb""")
+FROM (SELECT item_id, {_BUCKET} AS dim, count(*) AS c FROM tp WHERE length(tok) > 1 GROUP BY ALL) b
+JOIN (SELECT item_id, count(*) AS m FROM tp WHERE length(tok) > 1 GROUP BY item_id) n ON n.item_id = b.item_id""", [_DESCR, _TOKLIST, _TOKPOS])
+    s["q30_merge_shards"] = O.with_(["emb"], f"""
+SELECT item_id, batch, unnest(range(0, len(embedding)))::INTEGER AS place, round(CAST(unnest(embedding) AS DOUBLE), 6) AS value
+FROM (SELECT item_id, embedding, (row_number() OVER (ORDER BY item_id) - 1) // {TOTAL_ROWS} AS batch FROM emb)""")
     s["q31_csv_ingest"] = O.with_(["reads"], "SELECT user_id, item_id, is_read, rating, is_reviewed FROM reads")
     s["q32_materialise_once"] = s["q08_popularity_rank"]
     tnames, textra = _warm_eval_ctes(textbook=True, ndcg_only=True)
@@ -497,7 +543,7 @@ SELECT 'r1' AS run, 'warm' AS scenario, metric, round(avg(value), 6) AS value FR
 UNION ALL
 SELECT 'r1' AS run, 'cold' AS scenario, metric, round(avg(value), 6) AS value FROM cm_per_user GROUP BY metric""", wx + cx)
     s["q35_embedding_totals"] = O.with_(["items"], f"""
-SELECT (rn - 1) // {SHARD_ROWS} AS batch, count(*) AS n_rows, 64 AS dims
+SELECT (rn - 1) // {TOTAL_ROWS} AS batch, count(*) AS n_rows
 FROM (SELECT row_number() OVER (ORDER BY item_id) AS rn FROM descr) GROUP BY 1""", [_DESCR])
     genres = """
 SELECT DISTINCT item_id, trim(g) AS genre FROM (
@@ -506,16 +552,17 @@ SELECT DISTINCT item_id, trim(g) AS genre FROM (
 WHERE trim(g) <> ''"""
     ia = "SELECT DISTINCT CAST(l_partkey AS BIGINT) AS item_id, CAST(l_suppkey AS BIGINT) AS author_id FROM lineitem"
     s["q36_master_table"] = O.with_(["items", "reads"], """
-SELECT i.item_id, i.title,
-       coalesce(a.n, 0) AS n_authors, coalesce(g.n, 0) AS n_genres,
+SELECT i.item_id, i.title, i.average_rating, CAST(coalesce(length(i.description), 0) AS BIGINT) AS description_chars,
+       coalesce(a.n, '') AS authors, coalesce(g.n, '') AS genres,
        coalesce(r.n_reads, 0) AS n_reads, coalesce(r.n_readers, 0) AS n_readers
 FROM items i
-LEFT JOIN (SELECT item_id, count(*) AS n FROM ia GROUP BY item_id) a ON a.item_id = i.item_id
-LEFT JOIN (SELECT item_id, count(*) AS n FROM gn GROUP BY item_id) g ON g.item_id = i.item_id
+LEFT JOIN (SELECT item_id, string_agg(author_id || '=' || s_name, '|' ORDER BY author_id) AS n
+           FROM ia JOIN supplier ON s_suppkey = author_id GROUP BY item_id) a ON a.item_id = i.item_id
+LEFT JOIN (SELECT item_id, string_agg(genre, '|' ORDER BY genre) AS n FROM gn GROUP BY item_id) g ON g.item_id = i.item_id
 LEFT JOIN (SELECT item_id, count(*) AS n_reads, count(DISTINCT user_id) AS n_readers FROM reads GROUP BY item_id) r ON r.item_id = i.item_id""",
                                   [("gn", genres), ("ia", ia)])
     flat = """
-SELECT i.item_id, i.title, ia.author_id, s.s_name AS author_name, gn.genre
+SELECT i.item_id, i.title, i.average_rating, ia.author_id, s.s_name AS author_name, gn.genre
 FROM items i LEFT JOIN ia ON ia.item_id = i.item_id
 LEFT JOIN supplier s ON CAST(s.s_suppkey AS BIGINT) = ia.author_id
 LEFT JOIN gn ON gn.item_id = i.item_id"""
@@ -543,6 +590,10 @@ FROM hd h JOIN (
               ELSE least(greatest(1.0 - list_inner_product(a.v, c.v) / (a.nrm * c.nrm), 0.0), 2.0) END) <= {RADIUS}) n
   ON n.query_id = h.item_id
 GROUP BY h.user_id""")
+    s["q41_first_test_users"] = O.with_(["usplit"], "SELECT user_id FROM usplit WHERE split = 'test' AND shuffle_pos <= 10")
+    s["q42_preview"] = O.with_(["reads"], "SELECT user_id, item_id, rating FROM reads ORDER BY user_id, item_id, rating LIMIT 20")
+    s["q43_item_readers"] = O.with_(["reads"], """
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY user_id) AS pos, user_id FROM reads""")
     return s
 
 

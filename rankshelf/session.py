@@ -90,6 +90,15 @@ def stage(df, name: str):
     return out
 
 
+SMALL_BYTES = 16 << 20  # largest written table that is broadcast
+
+
+def small_enough(staged, limit: int = SMALL_BYTES) -> bool:
+    """Are the files of a frame returned by ``stage`` small enough to broadcast? (No job runs.)"""
+    fs, jpath = _file_system(staged.sparkSession, staged._staged_at)
+    return fs.getContentSummary(jpath).getLength() <= limit
+
+
 def unstage(*frames) -> None:
     """Delete the files of frames returned by ``stage`` that no later plan reads."""
     for df in frames:

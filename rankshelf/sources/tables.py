@@ -15,10 +15,13 @@ because (order key, line number) alone repeats in the data.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankshelf.session import stage
+
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -140,6 +143,11 @@ class Tables:
     def items(self) -> DataFrame:
         return items(self.spark, self.sf_dir)
 
+    @cached_property
+    def reads_once(self) -> DataFrame:
+        """The read interactions, joined once and written, for plans that use them several times."""
+        return stage(self.reads, "reads")
+
     @property
     def embeddings(self) -> DataFrame:
         return embeddings(self.spark, self.sf_dir)

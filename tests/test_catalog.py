@@ -63,3 +63,9 @@ def test_plan_has_no_cartesian_product(spark, key):
 def test_read_filter_reaches_the_scan(spark):
     plan = E.queries()["q01_read_filter"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_returnflag), Not(EqualTo(l_returnflag,R))" in plan
+
+
+@pytest.mark.parametrize("key", ["q16_rrf", "q19_hybrid", "q21_metrics_per_user", "q22_eval_warm", "q23_eval_cold", "q24_compare"])
+def test_reads_are_joined_once(spark, key):
+    plan = E.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("orders.parquet") <= 1

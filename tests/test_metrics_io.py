@@ -5,13 +5,16 @@ from __future__ import annotations
 import itertools
 import math
 import os
+import subprocess
+import sys
 import tempfile
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from rankshelf.functions.columns import unicode_strip
-from rankshelf.operators.embed import HashingEncoder, check_mode, describable, embed, hashing_embed_sql, pool, token_states, vectors_long
+from rankshelf.operators.embed import check_mode, describable, embed, embedding_job, pool, pooled, token_states
 from rankshelf.operators.metrics import METRICS, mean_metrics, ranking_metrics
 from rankshelf.operators.readlists import history_holdout, split_ids, user_read_lists
 from rankshelf.sources import io
@@ -132,6 +135,66 @@ def test_json_ingest_modes(spark):
         io.read_items_json(spark, path, "FAILFAST").collect()
 
 
+def test_unfinished_stage_is_built_again(spark):
+    path = tempfile.mkdtemp(prefix="stage-") + "/t"
+    spark.range(24).write.parquet(path)
+    os.remove(path + "/_SUCCESS")  # what a crashed write leaves
+    assert io.materialise(spark, path, lambda: spark.range(100)).count() == 100
+    assert io.materialise(spark, path, lambda: spark.range(3)).count() == 100
+
+
+def test_scratch_needs_a_shared_folder_off_local_masters():
+    from rankshelf.session import ensure_checkpoint_dir
+
+    class Stub:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return self
+
+        def get(self, *_):
+            return None
+
+    stub = Stub()
+    stub.sparkContext = stub.conf = stub
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(stub)
+
+
+def test_scratch_is_gone_after_the_session():
+    code = (
+        "from rankshelf.session import local_session, stage\n"
+        "s = local_session('1', 1)\n"
+        "d = stage(s.range(3), 'x')\n"
+        "print('AT', d._staged_at)\n"
+        "s.stop()\n"
+    )
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = done.stdout.split("AT ")[1].split()[0].removeprefix("file:")
+    assert not os.path.exists(os.path.dirname(path))
+
+
+def test_text_ids_are_mapped(spark):
+    raw = spark.createDataFrame([("b", "B"), ("a", "A"), (None, "-"), ("b", "B2"), ("7", "S")], "book_id string, title string")
+    ids = io.id_map(raw)
+    got = sorted((r.item_id, r.title) for r in io.items_from_json(raw, ids).collect())
+    assert got == [(1, "S"), (2, "A"), (3, "B"), (3, "B2")]
+    assert [(r.item_id, r.title) for r in io.items_from_json(raw).collect()] == [(7, "S")]  # no null id comes out
+
+
+def test_authors_and_genres_readers(spark):
+    root = tempfile.mkdtemp(prefix="aux-")
+    with open(root + "/a.csv", "w") as f:
+        f.write('author_id,name,average_rating,text_reviews_count,ratings_count\n5,"Doe, J.",4.5,1,2\n')
+    with open(root + "/g.json", "w") as f:
+        f.write('{"book_id": "9", "genres": {"history, biography": 3}}\n')
+    assert io.read_authors_csv(spark, root + "/a.csv").first().name == "Doe, J."
+    assert io.read_genres_json(spark, root + "/g.json").first().genres == {"history, biography": 3}
+
+
 def test_merge_shards_rejects_duplicate_ids(spark):
     root = tempfile.mkdtemp(prefix="shards-")
     df = spark.createDataFrame([(1, [1.0], 0), (2, [2.0], 0), (2, [3.0], 1)], "item_id bigint, embedding array<float>, batch int")
@@ -153,28 +216,69 @@ def test_materialise_builds_once(spark):
     assert len(calls) == 1
 
 
-def test_embed_job_matches_sql_twin(spark):
+class TwoTokenEncoder:
+    """States of the first two characters; a blank is masked out. Leaves a file for every build."""
+
+    def __init__(self, folder):
+        self._file = tempfile.mkstemp(dir=folder)
+
+    def encode(self, texts):
+        codes = np.array([[ord(c) for c in t[:2].ljust(2)] for t in texts], float)
+        return np.stack([codes, codes * 2], axis=2), codes != 32
+
+
+def test_embed_builds_one_encoder_per_worker(spark):
+    folder = tempfile.mkdtemp(prefix="builds-")
+    texts = spark.createDataFrame([(i, f"{chr(97 + i % 26)} text") for i in range(200)], "item_id bigint, text string").repartition(16)
+    factory = lambda: TwoTokenEncoder(folder)
+    first = {r.item_id: list(r.embedding) for r in embed(texts, factory, "two", 7).collect()}
+    mean = {r.item_id: list(r.embedding) for r in embed(texts, factory, "two", 7, mode="query").collect()}
+    assert first[1] == [98.0, 196.0] and mean[1] == [98.0, 196.0]  # the blank in second place is masked out
+    assert len(first) == len(mean) == 200
+    assert len(os.listdir(folder)) <= spark.sparkContext.defaultParallelism * 2 < 16
+    with pytest.raises(ValueError):
+        embed(texts, factory)
+
+
+def test_pooled_masks():
+    states = np.arange(12.0).reshape(1, 3, 4)
+    assert (pooled(states, np.array([[0, 1, 1]]), "query") == states[0, 1:].mean(axis=0)).all()
+    assert (pooled(states, np.array([[0, 0, 0]]), "query") == 0).all()
+    assert (pooled(states, np.array([[0, 1, 1]]), "sentence") == states[0, 0]).all()
+
+
+def test_hashing_embed(spark):
     items = spark.createDataFrame(
-        [(1, "  Der Hund, der Hund!  "), (2, "\t\n"), (3, "Éte 42 été"), (4, None)], "item_id bigint, description string"
+        [(1, "  Der Hund, der Hund!  "), (2, "\t\n"), (3, "Éte 42 été"), (4, None), (5, " - ")], "item_id bigint, description string"
     )
     texts = describable(items)
-    assert sorted(r.item_id for r in texts.collect()) == [1, 3]
-    job = {(r.item_id, r.bucket): round(float(r.weight), 6) for r in vectors_long(embed(texts, batch_size=1)).collect()}
-    sql = {(r.item_id, r.bucket): round(float(r.weight), 6) for r in hashing_embed_sql(texts).collect()}
-    assert job == sql
-    with pytest.raises(ValueError):
+    rows = {r.item_id: np.array(r.embedding) for r in embed(texts, mode="query").collect()}
+    assert sorted(rows) == [1, 3, 5] and all(len(v) == 64 for v in rows.values())
+    assert np.linalg.norm(rows[1]) == pytest.approx(1) and (rows[1] > 0).sum() == 2 and not rows[5].any()
+    with pytest.raises(ValueError, match="Invalid mode"):
         check_mode("other")
-    enc = HashingEncoder(8)
-    assert enc.encode(["a a b"]).shape == (1, 8)
+    with pytest.raises(ValueError, match="Invalid mode"):
+        embed(texts, mode="other")
+
+
+def test_embedding_job_writes_bounded_shards(spark):
+    root = tempfile.mkdtemp(prefix="job-")
+    with open(root + "/items.json", "w") as f:
+        f.write('{"book_id": "3", "description": "c"}\n{broken\n\n{"book_id": "1", "description": "a b"}\n')
+        f.write('{"book_id": "x", "description": "no number"}\n{"book_id": "2", "description": " "}\n{"description": "no id"}\n')
+    embedding_job(spark, root + "/items.json", root + "/out", shard_rows=1)
+    merged = io.merge_shards(spark, root + "/out")
+    assert sorted((r.batch, r.item_id) for r in merged.collect()) == [(0, 1), (1, 3)]
+    assert all(len([f for f in os.listdir(f"{root}/out/batch={b}") if f.endswith(".parquet")]) == 1 for b in (0, 1))
 
 
 def test_pooling_modes(spark):
-    texts = spark.createDataFrame([(1, "b a a")], "item_id bigint, text string")
+    texts = spark.createDataFrame([(1, "bb aa aa x"), (2, "x y")], "item_id bigint, text string")
     states = token_states(texts, dim=1000)
-    first = pool(states, "sentence").collect()
+    first = pool(states.where("item_id = 1"), "sentence").collect()
     assert len(first) == 1 and first[0].value == 1.0
-    mean = sorted(round(r.value, 6) for r in pool(states, "query").collect())
-    assert mean == [round(1 / 3, 6), round(2 / 3, 6)]
+    mean = sorted((r.item_id, round(r.value, 6)) for r in pool(states, "query").collect())
+    assert mean == [(1, round(1 / 3, 6)), (1, round(2 / 3, 6))]  # tokens of one character are masked out
 
 
 def test_streaming_ingest_is_incremental(spark):
