@@ -1,0 +1,160 @@
+"""Exact dedup, URL filters and quality rules: brute force and odd rows."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from rankshelf.llm import exact_dedup, quality, queries, url_filters
+
+LOW = {c: c + 32 for c in range(65, 91)}
+
+
+# ---- exact dedup -----------------------------------------------------------------------------
+
+
+def brute_groups(rows):
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[(t or "").translate(LOW)].append(i)
+    return {t: (max((i for i in g if i is not None), default=None), len(g)) for t, g in groups.items()}
+
+
+def dedup_rows():
+    rnd = random.Random(1)
+    texts = ["Same Text", "same text", "SAME TEXT", "Ünï", "ünï", None, "", "x" * 64 + "a", "x" * 64 + "b", "long " * 5000, "LONG " * 5000]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    rows += [(100 + i, "hot copy") for i in range(200)] + [(0, "Same Text"), (None, "Same Text"), (None, "no id at all")]
+    return rows + [(1000 + i, "".join(rnd.choices("ab", k=6))) for i in range(150)]
+
+
+def test_exact_groups_match_brute_force(spark):
+    rows = dedup_rows()
+    docs = spark.createDataFrame([(i, t, "c", 1) for i, t in rows], "doc_id long, text string, kept string, keep_id int").repartition(5)
+    groups = brute_groups(rows)
+    expect = Counter()
+    for i, t in rows:
+        n = (t or "").translate(LOW)
+        keep, size = groups[n]
+        expect[(i, keep, size, i == keep, hashlib.sha256(n.encode()).hexdigest())] += 1
+    got = Counter(tuple(r) for r in exact_dedup.exact_duplicates(docs, hash_unique=True).collect())
+    assert got == expect
+    partly = exact_dedup.exact_duplicates(docs).collect()
+    assert all(r.text_sha256 is not None for r in partly if r.group_size > 1) and any(r.text_sha256 is None for r in partly)
+
+
+def test_drop_keeps_one_row_of_each_text(spark):
+    rows = dedup_rows()
+    docs = spark.createDataFrame([(i, t, {"k": 1}, 1) for i, t in rows], "doc_id long, text string, m map<string,int>, _size int").repartition(5)
+    kept = exact_dedup.drop_exact_duplicates(docs)
+    assert kept.columns == docs.columns
+    got = kept.collect()
+    groups = brute_groups(rows)
+    assert sorted((r.text or "").translate(LOW) for r in got) == sorted(groups)
+    assert all(r.doc_id == groups[(r.text or "").translate(LOW)][0] for r in got)
+
+
+def test_colliding_buckets_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BUCKETS", 2)
+    rows = dedup_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    groups = brute_groups(rows)
+    got = exact_dedup.exact_duplicates(docs).collect()
+    assert Counter((r.doc_id, r.group_size) for r in got) == Counter((i, groups[(t or "").translate(LOW)][1]) for i, t in rows)
+
+
+# ---- URL filters -----------------------------------------------------------------------------
+
+
+def brute_url(url, rules):
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.match(r"[^/?#]*", rest).group().translate(LOW)
+        path = re.match(r"[^?#]*", rest[len(re.match(r"[^/?#]*", rest).group()):]).group()
+    fits = [(len(h + p), v, h + p) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fits, default=None)
+    return host, path, best and best[2], best[1] if best else "allow"
+
+
+URLS = [
+    None, "", "no scheme", "http://", "://", "http://net", "http://NET/", "http://a.NET/x", "http://example.net/en/1", "https://blog.example.net/en",
+    "https://x.example.net/en/?q=/de/", "http://example.com/de/#/", "http://notexample.com/de/x", "http://a.org/fr/", "http://a.org/FR/",
+    "http://net./en/", "http://x.net:80/", "http://a..net/y//", "ftp://u@h.net/p?x://y.net/", "http://example.net#/en/", "http://x.net/" + "a/" * 500,
+    "http://" + "s." * 300 + "example.com/de/z", "http://é.example.net/en/é",
+]
+
+
+def test_urls_match_brute_force(spark):
+    pages = spark.createDataFrame([(i, u, "h", "r") for i, u in enumerate(URLS * 2)], "page_id long, url string, host string, rule string")
+    rules = queries.URL_RULES + [("c.org", "/", "block"), ("C.org", "/", "allow"), ("", "/q/", "block"), ("net", "/x/y/", "allow")]
+    table = spark.createDataFrame(rules, "host string, path string, verdict string")
+    lowered = [(h.translate(LOW), p, v) for h, p, v in rules]
+    for r in url_filters.judge_urls(pages, table).collect():
+        assert (r.host, r.path, r.rule, r.verdict) == brute_url((URLS * 2)[r.page_id], lowered), (URLS * 2)[r.page_id]
+
+
+def test_no_rules_no_pages_and_bad_rules(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/x"), (None, None)], "page_id long, url string")
+    none = spark.createDataFrame([], "host string, path string, verdict string")
+    assert [(r.rule, r.verdict) for r in url_filters.judge_urls(pages, none).collect()] == [(None, "allow")] * 2
+    rules = spark.createDataFrame(queries.URL_RULES, "host string, path string, verdict string")
+    assert url_filters.judge_urls(pages.limit(0), rules).count() == 0
+    with pytest.raises(Exception, match="must start and end"):
+        url_filters.judge_urls(pages, spark.createDataFrame([("a.net", "/x", "block")], "host string, path string, verdict string"))
+
+
+# ---- quality ---------------------------------------------------------------------------------
+
+
+def brute_measures(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    grams = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    covered = {k for i in range(len(words) - 2) if grams[tuple(words[i : i + 3])] > 1 for k in (i, i + 1, i + 2)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return len(words), sum(map(len, words)), sum(text.count(c) for c in quality.SYMBOLS), len(lines) - len(set(lines)), len(covered)
+
+
+def quality_rows():
+    rnd = random.Random(2)
+    texts = [None, "", " \n\t", "a", "a a", "a a a", "a a a a", "x y z x y z", "one two three four one two three", "line\nline\n\nline \n line"]
+    texts += ["# & <b> | $%*#\x0b é ü", "w " * 20_000, "\U0001F600 " * 60]
+    for _ in range(120):
+        vocabulary = [f"w{i}" for i in range(rnd.choice([4, 10, 200]))]
+        texts.append(rnd.choice([" ", "\n", " \n"]).join(rnd.choices(vocabulary, k=rnd.randint(1, 150))))
+    return [(i, t, f"s{i % 4}" if i % 5 else None) for i, t in enumerate(texts)]
+
+
+def test_measures_match_brute_force(spark):
+    rows = quality_rows()
+    docs = spark.createDataFrame([(i, t, s, True) for i, t, s in rows], "doc_id long, text string, source string, kept boolean")
+    texts = {i: t for i, t, _ in rows}
+    for r in quality.quality_report(docs).collect():
+        n_words, chars, symbols, dup, repeat = brute_measures(texts[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (n_words, chars, symbols, dup, repeat), texts[r.doc_id][:80]
+        assert r.base_failed == (n_words < 50 or 100 * repeat > 50 * n_words)
+        assert not (r.kept and r.base_failed)
+
+
+def test_bad_hosts_lose_their_doubtful_documents_only(spark):
+    good = " ".join(f"word{k}" for k in range(80))
+    doubtful = " ".join(f"word{k}###" for k in range(80))  # too many symbols, but no base failure
+    rows = [(i, "short", "bad") for i in range(90)] + [(90, good, "bad"), (91, doubtful, "bad")]
+    rows += [(100 + i, good, "fine") for i in range(60)] + [(200, doubtful, "fine"), (201, doubtful, None), (202, good, "tiny")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in quality.quality_report(docs).collect()}
+    assert got[90].kept and not got[91].kept and got[91].host_rejected and not got[91].base_failed
+    assert got[200].kept and got[202].kept and not got[200].host_rejected
+    assert 0 < got[202].host_rate < got[90].host_rate < 1  # a host of one document is drawn towards the corpus
+    assert sorted(r.doc_id for r in quality.keep_good(docs).collect()) == sorted(i for i, r in got.items() if r.kept)
+
+
+def test_one_host_and_empty_table(spark):
+    docs = spark.createDataFrame([(1, "a b c", None), (1, "a b c", None)], "doc_id long, text string, source string")
+    assert [r.kept for r in quality.quality_report(docs).collect()] == [False, False]
+    assert quality.quality_report(docs.limit(0)).count() == 0 and quality.keep_good(docs.limit(0)).count() == 0
