@@ -88,10 +88,11 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         ),
         "dedup-rows",
     )
-    groups = (
+    groups = stage(  # written, so that the join below has an exchange of its own, which AQE can split
         rows.where("_xd_suspect").groupBy(*_KEYS)
         .agg(F.max("doc_id").alias("_keep"), F.count(F.lit(1)).alias("_size"))
-        .where("_size > 1")
+        .where("_size > 1"),
+        "dedup-groups",
     )
     return rows.join(groups, _KEYS, "left").select(
         "doc_id",
