@@ -26,13 +26,16 @@ import base64
 import json
 import re
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -44,7 +47,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed pattern that belongs to the vocabulary: how a text is cut before byte pairs are merged.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END = 50_256  # free id of the vocabulary: end of text, and padding
-MEMORY = 200_000  # words whose ids a worker remembers
+MEMORY = 500_000  # words in each of the two generations that a worker remembers
+SLICE = 1 << 23  # characters encoded at a time
 
 _HEADER = struct.Struct("<qiHH")  # doc_id, number in the document, ids, 1 if the doc_id is null
 
@@ -72,8 +76,41 @@ class Layout:
 _WORKER: dict[int, "Encoder"] = {}  # one encoder per worker and vocabulary
 
 
+class _Pieces(dict):
+    """Ids of pieces; one that is missing is looked up in the generation before or encoded, and kept."""
+
+    def __init__(self, plain, before: dict[str, bytes]):
+        super().__init__({"": b""})
+        self._plain, self.before = plain, before
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.before.get(piece)
+        if ids is None:
+            mark = piece[-1]
+            if mark in ",.;:!?" and piece[-2:-1].isalnum():
+                ids = self[piece[:-1]] + self[mark]
+            else:
+                packed = array("H", self._plain(piece))
+                if sys.byteorder == "big":
+                    packed.byteswap()
+                ids = packed.tobytes()
+        if len(piece) <= 32:
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
-    """Byte-pair encoder that remembers the ids of frequent words."""
+    """Byte-pair encoder that remembers the ids of frequent words.
+
+    The pattern never joins a blank or line feed to what is before it, and gives a
+    line feed ids of its own, unless two white spaces meet. Texts without two white
+    spaces in a row are therefore cut before every blank and around every line feed,
+    and the distinct pieces of many texts, which are mostly single words, are looked
+    up. A closing mark after a letter or digit is a piece of its own as well.
+
+    Memory is bounded by two generations of about ``MEMORY`` pieces: when the young one
+    is full it becomes the old one, and pieces in use move on (some 200 bytes each).
+    """
 
     def __init__(self, vocabulary: bytes):
         import tiktoken
@@ -82,8 +119,10 @@ class Encoder:
         if max(ranks.values()) >= 1 << 16:
             raise ValueError("ids must fit 16 bits")
         self._plain = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self._known: dict[str, bytes] = {}
-        self._gaps = re.compile(r"\s\s")
+        self._pieces = _Pieces(self._plain, {})
+        (self._between,) = self._plain("\0")
+        self._other_space = re.compile(r"[^\S \n]")
+        self._gap = re.compile(r"\s\s")
 
     @classmethod
     def of(cls, vocabulary: bytes) -> "Encoder":
@@ -92,27 +131,57 @@ class Encoder:
             _WORKER[key] = cls(vocabulary)
         return _WORKER[key]
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self._plain(text), "<u2").tobytes()
-
-    def _word(self, word: str) -> bytes:
-        ids = self._ids(word)
-        if len(word) <= 32:
-            if len(self._known) >= MEMORY:
-                self._known.clear()
-            self._known[word] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        """Packed ids. The pattern never joins a blank to what is before it, unless white space is there:
-        without two white spaces in a row, a text may be cut before every blank."""
-        if self._gaps.search(text):
-            return self._ids(text)
-        known, word = self._known.get, self._word
-        pieces = text.replace(" ", "\0 ").split("\0") if "\0" not in text else None
-        if pieces is None:
-            return self._ids(text)
-        return b"".join([known(p) or (word(p) if p else b"") for p in pieces])
+    def _cut_anywhere(self, text: str) -> bool:
+        """Do no two white spaces meet?"""
+        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or "\0" in text:
+            return False
+        if text.isascii() and not any(c in text for c in "\t\r\v\f\x1c\x1d\x1e\x1f"):
+            return True
+        return not self._other_space.search(text) or not self._gap.search(text)
+
+    def encode(self, texts: pa.StringArray) -> Iterator[bytes]:
+        """Packed ids of each text, as the plain encoder gives them."""
+        plain = texts.to_pylist()
+        at = 0
+        while at < len(plain):  # slices of about SLICE characters
+            stop, size = at, 0
+            while stop < len(plain) and size < SLICE:
+                size += len(plain[stop])
+                stop += 1
+            yield from self._slice(plain[at:stop])
+            at = stop
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode all unknown words of letters in one call: the mark between them is always an id of its own."""
+        new = [p for p in set(pieces).difference(self._pieces, self._pieces.before) if p.isalpha() or (p[0] == " " and p[1:].isalpha())]
+        if new:
+            ids = np.array(self._plain("\0".join(new)), "<u2")
+            ends = np.r_[np.flatnonzero(ids == self._between), len(ids)] * 2
+            packed, at = ids.tobytes(), 0
+            for word, end in zip(new, ends.tolist(), strict=True):
+                self._pieces[word] = packed[at:end]
+                at = end + 2
+
+    def _slice(self, texts: list[str]) -> Iterator[bytes]:
+        simple = [self._cut_anywhere(t) for t in texts]
+        if len(self._pieces) > MEMORY:
+            self._pieces = _Pieces(self._plain, dict(self._pieces))
+        cut = pc.replace_substring(pc.replace_substring(pa.array([t if ok else "" for t, ok in zip(texts, simple)], pa.large_string()), " ", "\0 "), "\n", "\0\n\0")
+        lists = pc.split_pattern(cut, "\0")
+        # the distinct pieces are looked up once; numpy puts their ids in the places of the pieces
+        coded = lists.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        self._learn(pieces)
+        ids = list(map(self._pieces.__getitem__, pieces))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+        known, first = np.frombuffer(b"".join(ids), "<u2"), np.cumsum(sizes) - sizes
+        piece = coded.indices.to_numpy()
+        count = sizes[piece]
+        ends = np.cumsum(count)
+        flat = known[np.repeat(first[piece] - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)]
+        edges = np.r_[0, ends][lists.offsets.to_numpy()]
+        for n, text in enumerate(texts):
+            yield flat[edges[n] : edges[n + 1]].tobytes() if simple[n] else np.array(self._plain(text), "<u2").tobytes()
 
 
 # ---- permutation -----------------------------------------------------------------------------
@@ -153,8 +222,8 @@ def _partition() -> int:
 def _encoded(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[tuple[int | None, bytes]]:
     encoder = Encoder.of(vocabulary.value)
     for batch in batches:
-        for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["t"].to_pylist()):
-            yield doc_id, encoder.encode(text) + END.to_bytes(2, "little")
+        for doc_id, ids in zip(batch["doc_id"].to_pylist(), encoder.encode(batch["t"])):
+            yield doc_id, ids + END.to_bytes(2, "little")
 
 
 def _check(so_far: int, doc_id: int | None, ids: bytes) -> int:

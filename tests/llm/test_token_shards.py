@@ -6,6 +6,7 @@ import base64
 import os
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rankshelf.llm import queries, token_shards as T
@@ -30,8 +31,18 @@ TEXTS = [
 
 def test_encoder_equals_the_library(plain):
     encoder = T.Encoder(VOCABULARY)
-    for text in [t for t in TEXTS if t is not None] * 2:
-        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == plain(text), repr(text[:40])
+    texts = [t for t in TEXTS if t is not None] * 2
+    for text, ids in zip(texts, encoder.encode(pa.array(texts)), strict=True):
+        assert np.frombuffer(ids, "<u2").tolist() == plain(text), repr(text[:40])
+
+
+def test_encoder_in_small_slices_and_memory(plain, monkeypatch):
+    monkeypatch.setattr(T, "SLICE", 50)
+    monkeypatch.setattr(T, "MEMORY", 5)
+    encoder = T.Encoder(VOCABULARY)
+    texts = [f"word{i % 7}, and number {i}.\nNext! ({i})" for i in range(60)]
+    for text, ids in zip(texts, encoder.encode(pa.array(texts)), strict=True):
+        assert np.frombuffer(ids, "<u2").tolist() == plain(text)
 
 
 @pytest.mark.parametrize("size", [1, 2, 3, 7, 64, 1000, 4097])
