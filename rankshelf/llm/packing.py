@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rankshelf.llm.mixing import token_count
 from rankshelf.llm.text import whole_text
 from rankshelf.operators.ordering import global_rank
+from rankshelf.session import stage
 
 BUCKETS = 8
 BUDGET = 65_536  # padded tokens in one batch
@@ -89,7 +90,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
     take places of their own; null ids come first. An empty table gives no rows;
     other columns are ignored.
     """
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), token_count(whole_text(f"`{text_col}`")).alias("n_tokens"))
+    rows = stage(  # read three times: histogram, range bounds, numbering
+        docs.select(F.col(f"`{id_col}`").alias("doc_id"), token_count(whole_text(f"`{text_col}`")).alias("n_tokens")), "lengths"
+    )
     histogram = sorted((r.n_tokens, r.n) for r in rows.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).collect())
     if not histogram:
         return rows.select(
