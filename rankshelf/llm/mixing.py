@@ -6,7 +6,8 @@ language targets, then to the topic targets, until each marginal agrees. The
 ratio of a cell's raked to its own tokens gives the probability of its documents,
 which are then sampled by a hash of their id.
 
-The documents are read once for the cells; all raking works on the cell table.
+The documents are measured once and written with what is kept of them; all raking
+works on the cell table.
 Each scaling sums the weights of one dimension map-side, so a dominant source or
 language is one small row per task, and joins the few sums back by equality.
 """
@@ -43,11 +44,11 @@ def token_count(text: Column) -> Column:
     return (F.regexp_count(text, F.lit(HAS_WORD + "+")) + 1).cast("long")
 
 
-def with_cell(docs: DataFrame, text_col: str, source_col: str, lang_col: str, topic: Column | None) -> DataFrame:
-    """``_row`` (all columns of ``docs``), the cell columns (null as empty) and ``tokens``."""
+def with_cell(docs: DataFrame, keep: list[str], text_col: str, source_col: str, lang_col: str, topic: Column | None) -> DataFrame:
+    """``_row`` (the columns ``keep`` of ``docs``), the cell columns (null as empty) and ``tokens``."""
     text = whole_text(f"`{text_col}`")
     return docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"),
         F.coalesce(F.col(f"`{source_col}`").cast("string"), F.lit("")).alias("source"),
         F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("")).alias("lang"),
         F.coalesce(shape_topic(text) if topic is None else topic, F.lit("")).alias("topic"),
@@ -105,8 +106,9 @@ def mix(
     alpha: float = ALPHA,
     rounds: int = ROUNDS,
     seed: int = SEED,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """``_row`` (struct of all columns of ``docs``), cell, ``tokens``, ``probability`` and ``sampled``.
+    """``_row`` (struct of the columns ``keep``, all by default; the id is kept always), cell, ``tokens``, ``probability`` and ``sampled``.
 
     The probability is ``rate * ratio``, at most one: the expected token weights
     meet the targets as long as no cell is raked up by more than ``1 / rate``;
@@ -115,7 +117,8 @@ def mix(
     count one token; rows that share an id are drawn alike; an empty table gives
     no rows.
     """
-    rows = with_cell(docs, text_col, source_col, lang_col, topic)
+    kept = docs.columns if keep is None else list(dict.fromkeys([id_col, *keep]))
+    rows = stage(with_cell(docs, kept, text_col, source_col, lang_col, topic), "mixed-rows")
     cells = stage(rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
     given = targets or {}
     goals = {d: given[d] if d in given else stage(smoothed_targets(cells, d, alpha), "targets") for d in DIMENSIONS}

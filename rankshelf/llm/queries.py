@@ -36,7 +36,7 @@ FROM d WINDOW g AS (PARTITION BY t)
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cell, calibrated probability and draw of every document."""
-    return mixing.mix(_table(spark, sf_dir, "documents")).select(
+    return mixing.mix(_table(spark, sf_dir, "documents"), keep=["doc_id"]).select(
         F.col("_row.doc_id").alias("doc_id"), *mixing.DIMENSIONS, "tokens", F.round("probability", 6).alias("probability"), "sampled"
     )
 
