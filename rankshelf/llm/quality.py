@@ -124,7 +124,8 @@ def judged(docs: DataFrame, keep: list[str], text_col: str, host_col: str, rules
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col(f"`{text_col}`").alias("_q_text"), F.col(f"`{host_col}`").alias("_q_host")
     )
     measured = stage(with_failures(measure(needed, "_q_text"), rules).drop("_q_text"), "quality")
-    verdicts = host_verdicts(measured, "_q_host", rules).withColumnRenamed("_q_host", "_q_key")
+    # written, so that its size is known: few hosts are broadcast, and the texts stay where they are
+    verdicts = stage(host_verdicts(measured, "_q_host", rules).withColumnRenamed("_q_host", "_q_key"), "hosts")
     joined = measured.join(verdicts, F.col("_q_host").eqNullSafe(F.col("_q_key")), "left")
     return joined.withColumn("kept", ~F.col("base_failed") & ~(F.col("host_rejected") & F.col("any_failed")))
 
