@@ -47,8 +47,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed pattern that belongs to the vocabulary: how a text is cut before byte pairs are merged.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END = 50_256  # free id of the vocabulary: end of text, and padding
-MEMORY = 500_000  # words in each of the two generations that a worker remembers
-SLICE = 1 << 23  # characters encoded at a time
+MEMORY = 150_000  # words in each of the two generations that a worker remembers
+SLICE = 1 << 22  # characters encoded at a time
 
 _HEADER = struct.Struct("<qiHH")  # doc_id, number in the document, ids, 1 if the doc_id is null
 
