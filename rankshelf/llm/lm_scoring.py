@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
 
 import numpy as np
@@ -41,10 +41,11 @@ from rankshelf.shipping import ship
 MIN_BIGRAM = 2  # least count of a stored bigram
 BITS_PER_ENTRY = 16
 PROBES = 5  # bits of one stored level
-MAX_BITS = 1 << 30  # 128 MB
+MAX_BITS = 1 << 29  # 64 MB
 HOT = 1 << 20
 MASS = 50.0  # weight of the word estimate in the bigram estimate
-CHUNK = 1 << 20  # tokens worked on at a time
+COUNTED = 1 << 19  # tokens counted at a time
+SCORED = 1 << 17  # tokens scored at a time
 MIN_SHARDS = 64
 
 END = np.uint64(0x9E3779B97F4A7C15)  # the end token; also the context of the first word
@@ -94,8 +95,8 @@ def unpack40(data: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8").astype(np.uint64)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], take) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-    """Ids, tokens and text starts of whole documents, about ``CHUNK`` tokens at a time."""
+def _chunks(batches: Iterator[pa.RecordBatch], take, about: int) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """Ids, tokens and text starts of whole documents, ``about`` so many tokens at a time."""
     ids, parts, size = [], [], 0
     for batch in batches:
         for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["t"]):
@@ -104,7 +105,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], take) -> Iterator[tuple[list, np.
             ids.append(doc_id)
             parts.append(tokens_of(text.as_buffer().to_pybytes()))
             size += len(parts[-1])
-            if size >= CHUNK:
+            if size >= about:
                 yield ids, np.concatenate(parts), np.cumsum([0] + [len(p) for p in parts[:-1]])
                 ids, parts, size = [], [], 0
     if ids:
@@ -116,7 +117,7 @@ _COUNTS = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("keys", pa.bi
 
 def _count(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     """Packed counts of words (kind 0, whole hashes) and bigrams (kind 1, 40 bits) for each shard."""
-    for _, tokens, starts in _chunks(batches, lambda doc_id: not held_out(doc_id)):
+    for _, tokens, starts in _chunks(batches, lambda doc_id: not held_out(doc_id), COUNTED):
         rows = []
         for kind, values in ((0, tokens), (1, bigrams_of(tokens, starts))):
             keys, counts = np.unique(values, return_counts=True)
@@ -202,7 +203,7 @@ def _hot(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBat
 class Filter:
     """The assembled filter: one packed array and the part of each shard in it."""
 
-    def __init__(self, parts: list[tuple[int, int, bytes]], shards: int):
+    def __init__(self, parts: Iterable[tuple[int, int, bytes]], shards: int):
         self.shards = shards
         self.bits, self.start = np.full(shards, 64, np.uint64), np.zeros(shards, np.uint64)
         data, size = [bytes(8)], 8  # shards without a part look into eight empty bytes
@@ -240,7 +241,7 @@ def _score(batches: Iterator[pa.RecordBatch], model, floor: float, mass: float)
     """Kind 0: one row per document without the rare words. Kind 1: the rare words' hashes and rows, by shard."""
     bloom, hot, hot_counts = model.value
     row = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33
-    for ids, tokens, starts in _chunks(batches, lambda _: True):
+    for ids, tokens, starts in _chunks(batches, lambda _: True, SCORED):
         lengths = np.diff(np.r_[starts, len(tokens)])
         rows = row + np.arange(len(ids))
         row += len(ids)
@@ -351,7 +352,7 @@ def lm_scores(
     counts = np.frombuffer(b"".join(bytes(r.counts) for r in found), np.int64)
     order = np.argsort(keys)
     # at most ``max_bits`` bits and the empty parts' 64 each
-    parts = [(r.shard, r.n, bytes(r["keys"])) for r in model.where("kind = 1").select("shard", "n", "keys").collect()]
+    parts = ((r.shard, r.n, bytes(r["keys"])) for r in model.where("kind = 1").select("shard", "n", "keys").toLocalIterator())
     shared = spark.sparkContext.broadcast((Filter(parts, shards), keys[order], counts[order]))
     scored = stage(
         texts.mapInArrow(
