@@ -49,6 +49,7 @@ class Limits:
     homes: int = 4096  # homes in one block
     small: int = 4096  # comparisons of a group whose links are listed one by one
     rows: int = 1 << 16  # rows of one group held at a time
+    cells: int = 1 << 22  # comparisons of a large group made at a time
 
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -149,10 +150,10 @@ def _near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x ^ y) <= MAX_BITS
 
 
-def spanning_links(homes: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def spanning_links(homes: np.ndarray, others: np.ndarray, cells: int = Limits.cells) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what the links between ``homes`` and ``others`` connect, at most one for each row."""
     a, b, label = [], [], np.arange(len(homes))
-    width = max(1, (1 << 22) // len(homes))
+    width = max(1, cells // len(homes))
     for at in range(0, len(others), width):
         part = others[at : at + width]
         linked = _near(homes[:, None], part[None, :])
@@ -162,8 +163,13 @@ def spanning_links(homes: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, n
         b.append(homes[linked.argmax(axis=0)])
         while part.size:
             lowest = np.where(linked, label[:, None], len(homes)).min(axis=0)
-            merged = np.minimum(label, np.where(linked, lowest[None, :], len(homes)).min(axis=1))
-            merged = merged[merged]
+            reached = np.minimum(label, np.where(linked, lowest[None, :], len(homes)).min(axis=1))
+            # a class moves as a whole: what earlier parts joined stays joined
+            root = np.arange(len(homes))
+            np.minimum.at(root, label, reached)
+            while (root[root] != root).any():
+                root = root[root]
+            merged = root[label]
             if (merged == label).all():
                 break
             label = merged
@@ -173,7 +179,7 @@ def spanning_links(homes: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, n
     return a[a != b], b[a != b]
 
 
-def _links_of(group: np.ndarray, home: np.ndarray, fp: np.ndarray, small_work: int) -> tuple[np.ndarray, np.ndarray]:
+def _links_of(group: np.ndarray, home: np.ndarray, fp: np.ndarray, small_work: int, cells: int = Limits.cells) -> tuple[np.ndarray, np.ndarray]:
     """Links inside whole groups; ``group`` numbers the rows' groups, homes come first in each."""
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     sizes = np.diff(np.r_[starts, len(group)])
@@ -182,7 +188,7 @@ def _links_of(group: np.ndarray, home: np.ndarray, fp: np.ndarray, small_work: i
     a, b = [], []
     for g in np.flatnonzero((work > small_work) & (sizes > 1)):
         rows = slice(starts[g], starts[g] + sizes[g])
-        x, y = spanning_links(fp[rows][: n_homes[g]], fp[rows])
+        x, y = spanning_links(fp[rows][: n_homes[g]], fp[rows], cells)
         a.append(x)
         b.append(y)
     small = (work <= small_work) & (sizes > 1) & (n_homes > 0)
@@ -207,7 +213,7 @@ def _compare(batches: Iterator[pa.RecordBatch], limits: Limits) -> Iterator[pa.R
         if not len(fp):
             return None
         group = np.cumsum(np.r_[0, (anchor[1:] != anchor[:-1]) | (block[1:] != block[:-1])])
-        x, y = _links_of(group, home, fp, limits.small)
+        x, y = _links_of(group, home, fp, limits.small, limits.cells)
         return pa.record_batch([pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], names=["a", "b"])
 
     for batch in batches:

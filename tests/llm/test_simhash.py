@@ -77,6 +77,50 @@ def test_spanning_links_connect_what_links_connect():
     assert len(a) <= len(fps) + 40
 
 
+def _classes(nodes, pairs):
+    root = {int(v): int(v) for v in nodes}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for x, y in pairs:
+        p, q = find(int(x)), find(int(y))
+        root[max(p, q)] = min(p, q)
+    return {v: find(v) for v in root}
+
+
+@pytest.mark.parametrize("width", [1, 2, 7])
+def test_spanning_links_in_several_parts(width):
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        # chains of three bits a step, in any order
+        fps = [rng.integers(0, 2**64, dtype=np.uint64)]
+        while len(fps) < 60:
+            step = sum(1 << int(p) for p in rng.choice(24, 3, replace=False))
+            fps.append(fps[rng.integers(max(0, len(fps) - 3), len(fps))] ^ np.uint64(step))
+        fps = rng.permutation(np.unique(np.array(fps)))
+        homes = fps[:25]
+        a, b = simhash.spanning_links(homes, fps, cells=width * len(homes))
+        assert _classes(fps, zip(a, b)) == _classes(fps, [(x, y) for x in homes for y in fps if np.bitwise_count(x ^ y) <= 3])
+        assert len(a) <= len(fps) + len(homes)
+
+
+@pytest.mark.parametrize("cells", [1, 1 << 22])
+def test_classes_of_one_crowded_anchor(spark, cells):
+    # one low half for all; the high halves are chains within a few bits
+    rng = np.random.default_rng(4)
+    low, high = np.uint64(0), [0]
+    while len(high) < 300:
+        high.append(high[rng.integers(max(0, len(high) - 3), len(high))] ^ sum(1 << int(p) for p in rng.choice(32, 3, replace=False)))
+    fps = np.unique(np.array(high, np.uint64) << np.uint64(32) | low)
+    prints = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long")
+    links = simhash.near_links(prints, simhash.Limits(small=0, cells=cells)).collect()
+    got = _classes(fps, [(r.a % 2**64, r.b % 2**64) for r in links])
+    assert got == _classes(fps, [(x, y) for x in fps for y in fps if x < y and np.bitwise_count(x ^ y) <= 3])
+
+
 WORDS = [f"w{i}" for i in range(400)]
 
 
