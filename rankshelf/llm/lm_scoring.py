@@ -8,18 +8,18 @@ mod 10 is not 0). Counting and scoring are two passes over the texts:
    hot). A shard sums its arrays, writes the exact word counts, and builds its own
    part of the Bloom filter: an n-gram with count c is stored under the levels 1
    to 1 + floor(log2 c).
-2. *Score.* The filter is broadcast. The count of an n-gram is read back by
-   probing level 1, 2, ... until a probe fails; the last level that held gives the
-   middle of its range of counts. A token's probability is the bigram estimate
-   smoothed towards the word estimate (Dirichlet prior ``MASS``).
-
-The filter takes ``BITS_PER_ENTRY`` bits for each stored level, at most
-``MAX_BITS`` in all: that bounds the broadcast. A shard whose entries would not
-fit raises the least count it stores. Every n-gram of the corpus is counted either way.
-
-The base score needs exact counts. Words with at least 1 / ``HOT`` of all tokens
-are no more than ``HOT`` words, which bounds their broadcast; every rarer word is
-sent to its shard and looked up there.
+2. *Score.* A chunk of texts asks each shard for its distinct words and bigrams
+   there, and the shard answers from its part of the filter, so no task holds more
+   than one part. The count of an n-gram is read back by probing level 1, 2, ...
+   until a probe fails; the last level that held gives the middle of its range of
+   counts. The answers meet the texts of their chunk (kept compressed). A token's
+   probability is the bigram estimate smoothed towards the word estimate
+   (Dirichlet prior ``MASS``).
+
+Every n-gram with its least count is stored, in ``BITS_PER_ENTRY`` bits for each
+level. The number of shards follows the size of the texts, so that a part has
+about ``MAX_BITS`` bits at most. The base score takes the exact word counts, which
+come with the same answers.
 """
 
 from __future__ import annotations
@@ -41,11 +41,10 @@ from rankshelf.shipping import ship
 MIN_BIGRAM = 2  # least count of a stored bigram
 BITS_PER_ENTRY = 16
 PROBES = 5  # bits of one stored level
-MAX_BITS = 1 << 29  # 64 MB
-HOT = 1 << 20
+MAX_BITS = 1 << 28  # bits of one shard's part
 MASS = 50.0  # weight of the word estimate in the bigram estimate
 COUNTED = 1 << 19  # tokens counted at a time
-SCORED = 1 << 17  # tokens scored at a time
+SCORED = 1 << 18  # tokens scored at a time
 MIN_SHARDS = 64
 
 END = np.uint64(0x9E3779B97F4A7C15)  # the end token; also the context of the first word
@@ -95,21 +94,22 @@ def unpack40(data: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8").astype(np.uint64)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], take, about: int) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-    """Ids, tokens and text starts of whole documents, ``about`` so many tokens at a time."""
-    ids, parts, size = [], [], 0
+def _chunks(batches: Iterator[pa.RecordBatch], take, about: int) -> Iterator[tuple[list, list, np.ndarray, np.ndarray]]:
+    """Ids, texts, tokens and text starts of whole documents, ``about`` so many tokens at a time."""
+    ids, texts, parts, size = [], [], [], 0
     for batch in batches:
         for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["t"]):
             if not take(doc_id):
                 continue
             ids.append(doc_id)
-            parts.append(tokens_of(text.as_buffer().to_pybytes()))
+            texts.append(text.as_buffer().to_pybytes())
+            parts.append(tokens_of(texts[-1]))
             size += len(parts[-1])
             if size >= about:
-                yield ids, np.concatenate(parts), np.cumsum([0] + [len(p) for p in parts[:-1]])
-                ids, parts, size = [], [], 0
+                yield ids, texts, np.concatenate(parts), np.cumsum([0] + [len(p) for p in parts[:-1]])
+                ids, texts, parts, size = [], [], [], 0
     if ids:
-        yield ids, np.concatenate(parts), np.cumsum([0] + [len(p) for p in parts[:-1]])
+        yield ids, texts, np.concatenate(parts), np.cumsum([0] + [len(p) for p in parts[:-1]])
 
 
 _COUNTS = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -117,7 +117,7 @@ _COUNTS = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("keys", pa.bi
 
 def _count(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
     """Packed counts of words (kind 0, whole hashes) and bigrams (kind 1, 40 bits) for each shard."""
-    for _, tokens, starts in _chunks(batches, lambda doc_id: not held_out(doc_id), COUNTED):
+    for _, _, tokens, starts in _chunks(batches, lambda doc_id: not held_out(doc_id), COUNTED):
         rows = []
         for kind, values in ((0, tokens), (1, bigrams_of(tokens, starts))):
             keys, counts = np.unique(values, return_counts=True)
@@ -159,7 +159,7 @@ _MODEL = pa.schema(
 )
 
 
-def _build(group: pa.Table, most_bits: int, min_bigram: int) -> pa.Table:
+def _build(group: pa.Table, min_bigram: int) -> pa.Table:
     """Of one shard: its exact word counts (kind 0) and its part of the filter (kind 1)."""
     shard = group["shard"][0].as_py()
     kinds, keys, counts = group["kind"].to_pylist(), group["keys"].to_pylist(), group["counts"].to_pylist()
@@ -171,17 +171,11 @@ def _build(group: pa.Table, most_bits: int, min_bigram: int) -> pa.Table:
         c = np.concatenate([np.frombuffer(counts[i], np.uint32) for i in rows]).astype(np.int64) if rows else np.zeros(0, np.int64)
         stored.append(_summed(k, c))
     (words, word_counts), (pairs, pair_counts) = stored
-    least = min_bigram
-    while True:
-        some = pair_counts >= least
-        known = word_counts >= least - min_bigram + 1
-        entries = int(level_of(word_counts[known]).sum() + level_of(pair_counts[some]).sum())
-        if entries * BITS_PER_ENTRY <= most_bits or not entries:
-            break
-        least += 1
+    some = pair_counts >= min_bigram
+    entries = int(level_of(word_counts).sum() + level_of(pair_counts[some]).sum())
     bits = max(64, -(-entries * BITS_PER_ENTRY // 8) * 8)
     part = np.zeros(bits, bool)
-    for kind, k, c in ((0, words[known], word_counts[known]), (1, pairs[some], pair_counts[some])):
+    for kind, k, c in ((0, words, word_counts), (1, pairs[some], pair_counts[some])):
         levels = level_of(c)
         for level in range(1, int(levels.max(initial=0)) + 1):
             for at in positions(k[levels >= level], kind, level, bits):
@@ -193,15 +187,8 @@ def _build(group: pa.Table, most_bits: int, min_bigram: int) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, _MODEL)], schema=_MODEL)
 
 
-def _hot(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for keys, counts in zip(batch["keys"], batch["counts"]):
-            k, c = np.frombuffer(keys.as_buffer(), np.uint64), np.frombuffer(counts.as_buffer(), np.int64)
-            yield pa.record_batch([pa.array([k[c >= least].tobytes()], pa.binary()), pa.array([c[c >= least].tobytes()], pa.binary())], names=["keys", "counts"])
-
-
 class Filter:
-    """The assembled filter: one packed array and the part of each shard in it."""
+    """Parts of the filter: one packed array and the place of each shard in it."""
 
     def __init__(self, parts: Iterable[tuple[int, int, bytes]], shards: int):
         self.shards = shards
@@ -214,7 +201,11 @@ class Filter:
         self.data = np.frombuffer(b"".join(data), np.uint8)
 
     def counts(self, hashes: np.ndarray, kind: int) -> np.ndarray:
-        """Estimated counts: levels are probed until one is missing."""
+        """Estimated counts."""
+        return middle_of(self.levels(hashes, kind))
+
+    def levels(self, hashes: np.ndarray, kind: int) -> np.ndarray:
+        """Levels are probed until one is missing."""
         shard = shard_of(hashes, self.shards).astype(np.int64)
         levels, alive, level = np.zeros(len(hashes), np.int64), np.arange(len(hashes)), 1
         while len(alive):
@@ -226,88 +217,87 @@ class Filter:
             alive = alive[there]
             levels[alive] = level
             level += 1
-        return middle_of(levels)
+        return levels
 
 
-_SCORES = pa.schema(
+_ASKED = pa.schema(
     [
-        ("kind", pa.int32()), ("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-        ("base", pa.float64()), ("score", pa.float64()), ("shard", pa.int32()), ("keys", pa.binary()), ("rows", pa.binary()),
+        ("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("texts", pa.binary()),
+        ("shard", pa.int32()), ("words", pa.binary()), ("pairs", pa.binary()),
     ]
 )
 
 
-def _score(batches: Iterator[pa.RecordBatch], model, floor: float, mass: float) -> Iterator[pa.RecordBatch]:
-    """Kind 0: one row per document without the rare words. Kind 1: the rare words' hashes and rows, by shard."""
-    bloom, hot, hot_counts = model.value
-    row = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33
-    for ids, tokens, starts in _chunks(batches, lambda _: True, SCORED):
-        lengths = np.diff(np.r_[starts, len(tokens)])
-        rows = row + np.arange(len(ids))
-        row += len(ids)
-        words, which = np.unique(tokens, return_inverse=True)
-        place = np.minimum(np.searchsorted(hot, words), max(0, len(hot) - 1))
-        common = hot[place] == words if len(hot) else np.zeros(len(words), bool)
-        exact = np.where(common, hot_counts[place] if len(hot) else 0, 0)
-        base = np.add.reduceat(np.where(common, np.log10(exact + 0.1), 0.0)[which], starts)
-        known = np.add.reduceat(common[which].astype(np.int64), starts)
-        # the model
-        word_counts = bloom.counts(words, 0)
-        share = (word_counts + 0.1) / floor
-        pairs, pair_of = np.unique(bigrams_of(tokens, starts), return_inverse=True)
-        pair_counts = bloom.counts(pairs, 1)[pair_of]
-        context = np.empty(len(tokens))
-        context[1:] = word_counts[which[:-1]]
-        context[starts] = bloom.counts(np.array([END]), 0)[0]
-        chance = (np.minimum(pair_counts, context) + mass * np.minimum(share, 1.0)[which]) / (context + mass)
-        score = np.add.reduceat(np.log10(chance), starts)
-        n = len(ids)
-        none = lambda kind: pa.nulls(n, kind)
-        yield pa.record_batch(
-            [
-                pa.array(np.zeros(n, np.int32)), pa.array(rows), pa.array(ids, pa.int64()), pa.array(lengths), pa.array(known),
-                pa.array(base), pa.array(score), none(pa.int32()), none(pa.binary()), none(pa.binary()),
-            ],
-            schema=_SCORES,
-        )
-        rare = ~common[which]
-        if not rare.any():
-            continue
-        hashes, owners = tokens[rare], np.repeat(rows, lengths)[rare]
-        order = np.argsort(hashes, kind="stable")
-        hashes, owners = hashes[order], owners[order]
-        cuts = np.searchsorted(shard_of(hashes, bloom.shards), np.arange(bloom.shards + 1, dtype=np.uint64))
-        some = np.flatnonzero(np.diff(cuts))
-        n = len(some)
-        yield pa.record_batch(
-            [
-                pa.array(np.ones(n, np.int32)), none(pa.int64()), none(pa.int64()), none(pa.int64()), none(pa.int64()),
-                none(pa.float64()), none(pa.float64()), pa.array(some.astype(np.int32)),
-                pa.array([hashes[cuts[s] : cuts[s + 1]].tobytes() for s in some], pa.binary()),
-                pa.array([owners[cuts[s] : cuts[s + 1]].astype(np.int64).tobytes() for s in some], pa.binary()),
-            ],
-            schema=_SCORES,
-        )
-
-
-_RARE = pa.schema([("row", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64())])
-
-
-def _look_up(rare: pa.Table, words: pa.Table) -> pa.Table:
-    """The exact counts of one shard's rare words, summed by document."""
-    if not rare.num_rows:
-        return _RARE.empty_table()
-    hashes = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in rare["keys"]])
-    owners = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in rare["rows"]])
-    counts = np.zeros(len(hashes), np.int64)
-    if words.num_rows:
-        keys = np.frombuffer(words["keys"][0].as_buffer(), np.uint64)
-        if len(keys):
-            place = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-            counts = np.where(keys[place] == hashes, np.frombuffer(words["counts"][0].as_buffer(), np.int64)[place], 0)
-    rows, which = np.unique(owners, return_inverse=True)
-    known = np.bincount(which, counts > 0, len(rows)).astype(np.int64)
-    return pa.table([pa.array(rows), pa.array(known), pa.array(np.bincount(which, np.log10(counts + 0.1), len(rows)))], schema=_RARE)
+def _ask(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    """Of each chunk one row with its texts, and for each shard one with the distinct words and bigrams there."""
+    chunk = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33
+    for ids, texts, tokens, starts in _chunks(batches, lambda _: True, SCORED):
+        rows = [(chunk, ids, [len(t) for t in texts], pa.compress(b"".join(texts), "zstd", asbytes=True), None, None, None)]
+        words, pairs = np.unique(tokens), np.unique(bigrams_of(tokens, starts))
+        edges = np.arange(shards + 1, dtype=np.uint64)
+        w, p = np.searchsorted(shard_of(words, shards), edges), np.searchsorted(shard_of(pairs, shards), edges)
+        for s in np.flatnonzero(np.diff(w) + np.diff(p)):
+            rows.append((chunk, None, None, None, int(s), words[w[s] : w[s + 1]].tobytes(), pack40(pairs[p[s] : p[s + 1]])))
+        yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), _ASKED)], schema=_ASKED)
+        chunk += 1
+
+
+_ANSWERS = pa.schema([("chunk", pa.int64()), ("shard", pa.int32()), ("counts", pa.binary()), ("words", pa.binary()), ("pairs", pa.binary())])
+
+
+def _answer(asked: pa.Table, model: pa.Table) -> pa.Table:
+    """Of one shard: exact counts and levels of the words, and levels of the bigrams, in the order asked."""
+    if not asked.num_rows:
+        return _ANSWERS.empty_table()
+    words = [np.frombuffer(x.as_buffer(), np.uint64) for x in asked["words"]]
+    pairs = [unpack40(x.as_buffer()) for x in asked["pairs"]]
+    w, p = np.concatenate(words), np.concatenate(pairs)
+    counts, bloom = np.zeros(len(w), np.int64), Filter([], 1)
+    for kind, n, keys, exact in zip(model["kind"].to_pylist(), model["n"].to_pylist(), model["keys"], model["counts"]):
+        if kind == 1:
+            bloom = Filter([(0, n, bytes(keys.as_buffer()))], 1)
+        elif n:
+            keys = np.frombuffer(keys.as_buffer(), np.uint64)
+            place = np.minimum(np.searchsorted(keys, w), n - 1)
+            counts = np.where(keys[place] == w, np.frombuffer(exact.as_buffer(), np.int64)[place], 0)
+    of_words, of_pairs = bloom.levels(w, 0).astype(np.uint8), bloom.levels(p, 1).astype(np.uint8)
+
+    def split(values: np.ndarray, like: list) -> pa.Array:
+        return pa.array([x.tobytes() for x in np.split(values, np.cumsum([len(x) for x in like])[:-1])], pa.binary())
+
+    return pa.table([asked["chunk"], asked["shard"], split(counts, words), split(of_words, words), split(of_pairs, pairs)], schema=_ANSWERS)
+
+
+_SCORES = pa.schema(
+    [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())]
+)
+
+
+def _score(state: pa.Table, answers: pa.Table, floor: float, mass: float) -> pa.Table:
+    """The documents of one chunk, with what the shards answered."""
+    ids, sizes = state["ids"][0].as_py(), state["sizes"][0].as_py()
+    texts = pa.decompress(state["texts"][0].as_buffer(), sum(sizes), "zstd", asbytes=True) if sum(sizes) else b""
+    ends = np.cumsum(sizes)
+    parts = [tokens_of(texts[e - n : e]) for e, n in zip(ends, sizes)]
+    tokens, lengths = np.concatenate(parts), np.array([len(p) for p in parts])
+    starts = np.cumsum(np.r_[0, lengths[:-1]])
+    # shards are ranges of the hashes: in their order the answers follow the distinct values
+    answers = answers.sort_by("shard")
+    whole = lambda name, kind: np.frombuffer(b"".join(answers[name].to_pylist()), kind)
+    words, which = np.unique(tokens, return_inverse=True)
+    _, pair_of = np.unique(bigrams_of(tokens, starts), return_inverse=True)
+    exact, word_counts = whole("counts", np.int64), middle_of(whole("words", np.uint8).astype(np.int64))
+    pair_counts = middle_of(whole("pairs", np.uint8).astype(np.int64))[pair_of]
+    base = np.add.reduceat(np.log10(exact + 0.1)[which], starts)
+    known = np.add.reduceat((exact > 0)[which].astype(np.int64), starts)
+    # the model
+    share = (word_counts + 0.1) / floor
+    context = np.empty(len(tokens))
+    context[1:] = word_counts[which[:-1]]
+    context[starts] = word_counts[np.searchsorted(words, END)]
+    chance = (np.minimum(pair_counts, context) + mass * np.minimum(share, 1.0)[which]) / (context + mass)
+    score = np.add.reduceat(np.log10(chance), starts)
+    return pa.table([pa.array(c, f.type) for c, f in zip((ids, lengths, known, base, score), _SCORES)], schema=_SCORES)
 
 
 def lm_scores(
@@ -316,7 +306,7 @@ def lm_scores(
     text_col: str = "text",
     min_bigram: int = MIN_BIGRAM,
     max_bits: int = MAX_BITS,
-    hot: int = HOT,
+    hot: int | None = None,
     mass: float = MASS,
 ) -> DataFrame:
     """One row per input row: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
@@ -325,51 +315,47 @@ def lm_scores(
     (and counted as often as they occur); a null id is held out. Without training
     documents every count is zero. An empty table gives no rows; other columns
     are ignored. Ids are integers. A text must fit a worker as a list of words.
+    ``hot`` has no effect any more: every word is looked up at its shard.
     """
     spark = docs.sparkSession
     ship(spark)
-    shards = max(MIN_SHARDS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     texts = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary").alias("t"),
     )
+    # a text has a word for every two bytes at most, and the end token; a word or bigram has no more levels than occurrences
+    most = texts.agg(F.sum(F.octet_length("t") / 2 + 1).alias("tokens")).first().tokens or 0
+    shards = max(MIN_SHARDS, int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(2 * BITS_PER_ENTRY * most / max_bits))
     packed = texts.mapInArrow(partial(_count, shards=shards), "shard int, kind int, keys binary, counts binary")
 
     def build(group: pa.Table) -> pa.Table:
-        return _build(group, max_bits // shards, min_bigram)
+        return _build(group, min_bigram)
 
     model = stage(
         packed.groupBy("shard").applyInArrow(build, "shard int, kind int, n long, total long, keys binary, counts binary"), "lm-model"
     )
-    words = model.where("kind = 0")
-    sums = words.agg(F.sum("total").alias("tokens"), F.sum("n").alias("distinct")).first()
+    sums = model.where("kind = 0").agg(F.sum("total").alias("tokens"), F.sum("n").alias("distinct")).first()
     n_train, distinct = sums.tokens or 0, sums.distinct or 0
     floor = n_train + 0.1 * (distinct + 1)
-    # at most ``hot`` words have this count
-    least = max(1, math.ceil(n_train / hot))
-    found = words.mapInArrow(partial(_hot, least=least), "keys binary, counts binary").collect()
-    keys = np.frombuffer(b"".join(bytes(r.keys) for r in found), np.uint64)
-    counts = np.frombuffer(b"".join(bytes(r.counts) for r in found), np.int64)
-    order = np.argsort(keys)
-    # at most ``max_bits`` bits and the empty parts' 64 each
-    parts = ((r.shard, r.n, bytes(r["keys"])) for r in model.where("kind = 1").select("shard", "n", "keys").toLocalIterator())
-    shared = spark.sparkContext.broadcast((Filter(parts, shards), keys[order], counts[order]))
-    scored = stage(
+    asked = stage(
         texts.mapInArrow(
-            partial(_score, model=shared, floor=floor, mass=mass),
-            "kind int, row long, doc_id long, n_tokens long, n_known long, base double, score double, shard int, keys binary, rows binary",
+            partial(_ask, shards=shards), "chunk long, ids array<long>, sizes array<long>, texts binary, shard int, words binary, pairs binary"
         ),
-        "lm-scores",
+        "lm-asked",
+    )
+    answers = (
+        asked.where("shard IS NOT NULL").select("chunk", "shard", "words", "pairs").groupBy("shard")
+        .cogroup(model.select("shard", "kind", "n", "keys", "counts").groupBy("shard"))
+        .applyInArrow(_answer, "chunk long, shard int, counts binary, words binary, pairs binary")
     )
-    rare = scored.where("kind = 1").select("shard", "keys", "rows").groupBy("shard").cogroup(
-        words.select("shard", "keys", "counts").groupBy("shard")
-    ).applyInArrow(_look_up, "row long, n_known long, base double")
-    whole = scored.where("kind = 0").select("row", "doc_id", "n_tokens", "n_known", "base", "score")
-    none = F.lit(None)
+
+    def score(state: pa.Table, found: pa.Table) -> pa.Table:
+        return _score(state, found, floor, mass)
+
     per_row = (
-        whole.unionByName(rare.select("row", none.cast("long").alias("doc_id"), none.cast("long").alias("n_tokens"), "n_known", "base", none.cast("double").alias("score")))
-        .groupBy("row")
-        .agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base"), F.max("score").alias("score"))
+        asked.where("shard IS NULL").select("chunk", "ids", "sizes", "texts").groupBy("chunk")
+        .cogroup(answers.groupBy("chunk"))
+        .applyInArrow(score, "doc_id long, n_tokens long, n_known long, base double, score double")
     )
     out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 10 == 0
     return per_row.select(

@@ -114,6 +114,32 @@ def test_scores_match_a_model_with_the_same_estimates(spark):
     assert close > 0.8 * len(rows)  # the rest met a false positive
 
 
+def test_scores_do_not_depend_on_the_size_of_a_part(spark):
+    rows = sample(100)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole, small = ({(r.doc_id, r.n_tokens): r.score for r in L.lm_scores(docs, max_bits=b).collect()} for b in (L.MAX_BITS, 64 * 64 * 4))
+    # parts differ in their false positives only; dropped n-grams would take away far more
+    assert sum(abs(whole[k] - small[k]) < 0.35 for k in whole) > 0.8 * len(whole)
+    assert abs(sum(whole.values()) - sum(small.values())) < 0.01 * abs(sum(whole.values()))
+
+
+def test_every_counted_pair_is_stored():
+    rng = np.random.default_rng(2)
+    pairs = np.unique(rng.integers(0, 1 << 40, 20000, np.uint64))
+    words = np.unique(rng.integers(0, 2**64, 3000, np.uint64))
+    group = L.pa.table(
+        {
+            "shard": [0, 0], "kind": [0, 1], "keys": [words.tobytes(), L.pack40(pairs)],
+            "counts": [np.ones(len(words), np.uint32).tobytes(), np.full(len(pairs), 2, np.uint32).tobytes()],
+        }
+    )
+    model = L._build(group, 2)
+    asked = L.pa.table({"chunk": [7], "shard": [0], "words": [words.tobytes()], "pairs": [L.pack40(pairs)]})
+    answer = L._answer(asked, model).to_pylist()[0]
+    assert min(answer["words"]) >= 1 and min(answer["pairs"]) >= 2
+    assert (np.frombuffer(answer["counts"], np.int64) == 1).all()
+
+
 def test_empty_table_and_nothing_to_train_on(spark):
     assert L.lm_scores(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     only = next(i for i in range(100) if L.held_out(i))
