@@ -3,18 +3,16 @@
 The model is a bigram model over the training documents (crc32 of the id as text
 mod 10 is not 0). Counting and scoring are two passes over the texts:
 
-1. *Count.* Tasks count words and bigrams in chunks and send packed arrays to
-   shards of the hash space (equal parts whatever the words are, so no shard is
-   hot). A shard sums its arrays, writes the exact word counts, and builds its own
-   part of the Bloom filter: an n-gram with count c is stored under the levels 1
-   to 1 + floor(log2 c).
-2. *Score.* A chunk of texts asks each shard for its distinct words and bigrams
-   there, and the shard answers from its part of the filter, so no task holds more
-   than one part. The count of an n-gram is read back by probing level 1, 2, ...
-   until a probe fails; the last level that held gives the middle of its range of
-   counts. The answers meet the texts of their chunk (kept compressed). A token's
-   probability is the bigram estimate smoothed towards the word estimate
-   (Dirichlet prior ``MASS``).
+1. *Count.* The texts are written in chunks. A chunk sends its distinct words and
+   bigrams with their counts to shards of the hash space (equal parts whatever the
+   words are, so no shard is hot). A shard sums them and builds its own part of the
+   Bloom filter: an n-gram with count c is stored under the levels 1 to
+   1 + floor(log2 c). From that part it answers every chunk at once, so no task
+   holds more than one part and the n-grams are shuffled a single time. The count
+   of an n-gram is read back by probing level 1, 2, ... until a probe fails; the
+   last level that held gives the middle of its range of counts.
+2. *Score.* The answers meet the texts of their chunk. A token's probability is
+   the bigram estimate smoothed towards the word estimate (Dirichlet prior ``MASS``).
 
 Every n-gram with its least count is stored, in ``BITS_PER_ENTRY`` bits for each
 level. The number of shards follows the size of the texts, so that a part has
@@ -28,6 +26,7 @@ import math
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import partial
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -38,13 +37,12 @@ from pyspark.sql import DataFrame, functions as F
 from rankshelf.session import stage
 from rankshelf.shipping import ship
 
-MIN_BIGRAM = 2  # least count of a stored bigram
+MIN_BIGRAM = 1  # least count of a stored bigram: all; a higher one is an option
 BITS_PER_ENTRY = 16
 PROBES = 5  # bits of one stored level
 MAX_BITS = 1 << 28  # bits of one shard's part
 MASS = 50.0  # weight of the word estimate in the bigram estimate
-COUNTED = 1 << 19  # tokens counted at a time
-SCORED = 1 << 18  # tokens scored at a time
+CHUNK = 6 << 20  # bytes of text counted and scored at a time
 MIN_SHARDS = 64
 
 END = np.uint64(0x9E3779B97F4A7C15)  # the end token; also the context of the first word
@@ -94,46 +92,64 @@ def unpack40(data: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8").astype(np.uint64)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], take, about: int) -> Iterator[tuple[list, list, np.ndarray, np.ndarray]]:
-    """Ids, texts, tokens and text starts of whole documents, ``about`` so many tokens at a time."""
-    ids, texts, parts, size = [], [], [], 0
+_TEXTS = pa.schema([("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("texts", pa.binary())])
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], about: int) -> Iterator[pa.RecordBatch]:
+    """Whole documents, ``about`` so many bytes in a row."""
+    chunk = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33
+
+    def row(ids: list, texts: list) -> pa.RecordBatch:
+        values = chunk, ids, [len(t) for t in texts], pa.compress(b"".join(texts), "zstd", asbytes=True)
+        return pa.record_batch([pa.array([v], f.type) for v, f in zip(values, _TEXTS)], schema=_TEXTS)
+
+    ids, texts, size = [], [], 0
     for batch in batches:
         for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["t"]):
-            if not take(doc_id):
-                continue
             ids.append(doc_id)
             texts.append(text.as_buffer().to_pybytes())
-            parts.append(tokens_of(texts[-1]))
-            size += len(parts[-1])
+            size += len(texts[-1]) + 1
             if size >= about:
-                yield ids, texts, np.concatenate(parts), np.cumsum([0] + [len(p) for p in parts[:-1]])
-                ids, texts, parts, size = [], [], [], 0
+                yield row(ids, texts)
+                chunk, ids, texts, size = chunk + 1, [], [], 0
     if ids:
-        yield ids, texts, np.concatenate(parts), np.cumsum([0] + [len(p) for p in parts[:-1]])
+        yield row(ids, texts)
 
 
-_COUNTS = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+def _tokens(ids: pa.Scalar, sizes: pa.Scalar, texts: pa.Scalar) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, tokens, text starts and numbers of tokens of one chunk."""
+    sizes = sizes.as_py()
+    whole = pa.decompress(texts.as_buffer(), sum(sizes), "zstd", asbytes=True) if sum(sizes) else b""
+    parts = [tokens_of(whole[e - n : e]) for e, n in zip(accumulate(sizes), sizes)]
+    lengths = np.array([len(p) for p in parts])
+    return ids.as_py(), np.concatenate(parts), np.cumsum(np.r_[0, lengths[:-1]]), lengths
+
+
+_COUNTS = pa.schema(
+    [("chunk", pa.int64()), ("shard", pa.int32()), ("words", pa.binary()), ("word_counts", pa.binary()), ("pairs", pa.binary()), ("pair_counts", pa.binary())]
+)
 
 
 def _count(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
-    """Packed counts of words (kind 0, whole hashes) and bigrams (kind 1, 40 bits) for each shard."""
-    for _, _, tokens, starts in _chunks(batches, lambda doc_id: not held_out(doc_id), COUNTED):
-        rows = []
-        for kind, values in ((0, tokens), (1, bigrams_of(tokens, starts))):
-            keys, counts = np.unique(values, return_counts=True)
-            cuts = np.searchsorted(shard_of(keys, shards), np.arange(shards + 1, dtype=np.uint64))
-            for s in np.flatnonzero(np.diff(cuts)):
-                part = slice(cuts[s], cuts[s + 1])
-                packed = keys[part].tobytes() if kind == 0 else pack40(keys[part])
-                rows.append((int(s), kind, packed, counts[part].astype(np.uint32).tobytes()))
-        yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), _COUNTS)], schema=_COUNTS)
-
-
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+    """The distinct words (whole hashes) and bigrams (40 bits) of each chunk for each shard, with their counts in training documents."""
+    edges = np.arange(shards + 1, dtype=np.uint64)
+    for batch in batches:
+        for chunk, *packed in zip(batch["chunk"].to_pylist(), batch["ids"], batch["sizes"], batch["texts"]):
+            ids, tokens, starts, lengths = _tokens(*packed)
+            trained = np.repeat([not held_out(i) for i in ids], lengths)
+            found = []
+            for values in (tokens, bigrams_of(tokens, starts)):
+                keys, which = np.unique(values, return_inverse=True)
+                found.append((keys, np.bincount(which, trained, len(keys)).astype(np.uint32), np.searchsorted(shard_of(keys, shards), edges)))
+            (words, word_counts, w), (pairs, pair_counts, p) = found
+            rows = [
+                (
+                    chunk, int(s), words[w[s] : w[s + 1]].tobytes(), word_counts[w[s] : w[s + 1]].tobytes(),
+                    pack40(pairs[p[s] : p[s + 1]]), pair_counts[p[s] : p[s + 1]].tobytes(),
+                )
+                for s in np.flatnonzero(np.diff(w) + np.diff(p))
+            ]
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), _COUNTS)], schema=_COUNTS)
 
 
 def level_of(counts: np.ndarray) -> np.ndarray:
@@ -154,39 +170,6 @@ def positions(keys: np.ndarray, kind: int, level, bits) -> list[np.ndarray]:
     return [(((at + np.uint64(i) * step) >> np.uint64(32)) * np.asarray(bits).astype(np.uint64)) >> np.uint64(32) for i in range(PROBES)]
 
 
-_MODEL = pa.schema(
-    [("shard", pa.int32()), ("kind", pa.int32()), ("n", pa.int64()), ("total", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]
-)
-
-
-def _build(group: pa.Table, min_bigram: int) -> pa.Table:
-    """Of one shard: its exact word counts (kind 0) and its part of the filter (kind 1)."""
-    shard = group["shard"][0].as_py()
-    kinds, keys, counts = group["kind"].to_pylist(), group["keys"].to_pylist(), group["counts"].to_pylist()
-    stored = []
-    for kind in (0, 1):
-        rows = [i for i, k in enumerate(kinds) if k == kind]
-        unpack = (lambda x: np.frombuffer(x, np.uint64)) if kind == 0 else unpack40
-        k = np.concatenate([unpack(keys[i]) for i in rows]) if rows else np.zeros(0, np.uint64)
-        c = np.concatenate([np.frombuffer(counts[i], np.uint32) for i in rows]).astype(np.int64) if rows else np.zeros(0, np.int64)
-        stored.append(_summed(k, c))
-    (words, word_counts), (pairs, pair_counts) = stored
-    some = pair_counts >= min_bigram
-    entries = int(level_of(word_counts).sum() + level_of(pair_counts[some]).sum())
-    bits = max(64, -(-entries * BITS_PER_ENTRY // 8) * 8)
-    part = np.zeros(bits, bool)
-    for kind, k, c in ((0, words, word_counts), (1, pairs[some], pair_counts[some])):
-        levels = level_of(c)
-        for level in range(1, int(levels.max(initial=0)) + 1):
-            for at in positions(k[levels >= level], kind, level, bits):
-                part[at.astype(np.int64)] = True
-    columns = [
-        [shard, shard], [0, 1], [len(words), bits], [int(word_counts.sum()), entries],
-        [words.tobytes(), np.packbits(part, bitorder="little").tobytes()], [word_counts.tobytes(), b""],
-    ]
-    return pa.table([pa.array(c, f.type) for c, f in zip(columns, _MODEL)], schema=_MODEL)
-
-
 class Filter:
     """Parts of the filter: one packed array and the place of each shard in it."""
 
@@ -220,52 +203,63 @@ class Filter:
         return levels
 
 
-_ASKED = pa.schema(
+_ANSWERS = pa.schema(
     [
-        ("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("texts", pa.binary()),
-        ("shard", pa.int32()), ("words", pa.binary()), ("pairs", pa.binary()),
+        ("chunk", pa.int64()), ("shard", pa.int32()), ("counts", pa.binary()), ("words", pa.binary()), ("pairs", pa.binary()),
+        ("n", pa.int64()), ("total", pa.int64()),
     ]
 )
 
 
-def _ask(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
-    """Of each chunk one row with its texts, and for each shard one with the distinct words and bigrams there."""
-    chunk = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33
-    for ids, texts, tokens, starts in _chunks(batches, lambda _: True, SCORED):
-        rows = [(chunk, ids, [len(t) for t in texts], pa.compress(b"".join(texts), "zstd", asbytes=True), None, None, None)]
-        words, pairs = np.unique(tokens), np.unique(bigrams_of(tokens, starts))
-        edges = np.arange(shards + 1, dtype=np.uint64)
-        w, p = np.searchsorted(shard_of(words, shards), edges), np.searchsorted(shard_of(pairs, shards), edges)
-        for s in np.flatnonzero(np.diff(w) + np.diff(p)):
-            rows.append((chunk, None, None, None, int(s), words[w[s] : w[s + 1]].tobytes(), pack40(pairs[p[s] : p[s + 1]])))
-        yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), _ASKED)], schema=_ASKED)
-        chunk += 1
-
-
-_ANSWERS = pa.schema([("chunk", pa.int64()), ("shard", pa.int32()), ("counts", pa.binary()), ("words", pa.binary()), ("pairs", pa.binary())])
-
-
-def _answer(asked: pa.Table, model: pa.Table) -> pa.Table:
-    """Of one shard: exact counts and levels of the words, and levels of the bigrams, in the order asked."""
-    if not asked.num_rows:
-        return _ANSWERS.empty_table()
-    words = [np.frombuffer(x.as_buffer(), np.uint64) for x in asked["words"]]
-    pairs = [unpack40(x.as_buffer()) for x in asked["pairs"]]
-    w, p = np.concatenate(words), np.concatenate(pairs)
-    counts, bloom = np.zeros(len(w), np.int64), Filter([], 1)
-    for kind, n, keys, exact in zip(model["kind"].to_pylist(), model["n"].to_pylist(), model["keys"], model["counts"]):
-        if kind == 1:
-            bloom = Filter([(0, n, bytes(keys.as_buffer()))], 1)
-        elif n:
-            keys = np.frombuffer(keys.as_buffer(), np.uint64)
-            place = np.minimum(np.searchsorted(keys, w), n - 1)
-            counts = np.where(keys[place] == w, np.frombuffer(exact.as_buffer(), np.int64)[place], 0)
-    of_words, of_pairs = bloom.levels(w, 0).astype(np.uint8), bloom.levels(p, 1).astype(np.uint8)
-
-    def split(values: np.ndarray, like: list) -> pa.Array:
-        return pa.array([x.tobytes() for x in np.split(values, np.cumsum([len(x) for x in like])[:-1])], pa.binary())
-
-    return pa.table([asked["chunk"], asked["shard"], split(counts, words), split(of_words, words), split(of_pairs, pairs)], schema=_ANSWERS)
+def planes(counts: np.ndarray) -> bytes:
+    """Whole numbers byte by byte, so that the high zeros compress."""
+    return np.ascontiguousarray(counts.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unplanes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).reshape(-1).view("<i8")
+
+
+def part_of(ngrams: list[tuple[np.ndarray, np.ndarray]]) -> Filter:
+    """One shard's part of the filter with all the words and bigrams given, each with its counts."""
+    entries = int(sum(level_of(c).sum() for _, c in ngrams))
+    bits = max(64, -(-entries * BITS_PER_ENTRY // 8) * 8)
+    part = np.zeros(bits, bool)
+    for kind, (k, c) in enumerate(ngrams):
+        levels = level_of(c)
+        for level in range(1, int(levels.max(initial=0)) + 1):
+            for at in positions(k[levels >= level], kind, level, bits):
+                part[at.astype(np.int64)] = True
+    return Filter([(0, bits, np.packbits(part, bitorder="little").tobytes())], 1)
+
+
+def _answer(group: pa.Table, min_bigram: int) -> pa.Table:
+    """Of one shard, for each chunk: exact counts and levels of its words, and levels of its bigrams, in the order sent.
+
+    The first row also has the shard's number of distinct and of all training words.
+    """
+    sent = []
+    for name, kind, unpack in (("words", "word_counts", lambda x: np.frombuffer(x, np.uint64)), ("pairs", "pair_counts", unpack40)):
+        keys = [unpack(x.as_buffer()) for x in group[name]]
+        cuts = np.cumsum([len(k) for k in keys])[:-1]
+        distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
+        counts = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in group[kind]])
+        sent.append((distinct, np.bincount(which, counts, len(distinct)).astype(np.int64), which, cuts))
+    (words, word_counts, w, w_cuts), (pairs, pair_counts, p, p_cuts) = sent
+    known, some = word_counts > 0, pair_counts >= max(1, min_bigram)
+    bloom = part_of([(words[known], word_counts[known]), (pairs[some], pair_counts[some])])
+
+    def split(values: np.ndarray, cuts: np.ndarray, to_bytes) -> list[bytes]:
+        return [to_bytes(x) for x in np.split(values, cuts)]
+
+    level_bytes = lambda x: x.astype(np.uint8).tobytes()
+    rest = [0] * (group.num_rows - 1)
+    columns = [
+        group["chunk"].to_pylist(), group["shard"].to_pylist(), split(word_counts[w], w_cuts, planes),
+        split(bloom.levels(words, 0)[w], w_cuts, level_bytes), split(bloom.levels(pairs, 1)[p], p_cuts, level_bytes),
+        [int(known.sum())] + rest, [int(word_counts.sum())] + rest,
+    ]
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, _ANSWERS)], schema=_ANSWERS)
 
 
 _SCORES = pa.schema(
@@ -275,19 +269,14 @@ _SCORES = pa.schema(
 
 def _score(state: pa.Table, answers: pa.Table, floor: float, mass: float) -> pa.Table:
     """The documents of one chunk, with what the shards answered."""
-    ids, sizes = state["ids"][0].as_py(), state["sizes"][0].as_py()
-    texts = pa.decompress(state["texts"][0].as_buffer(), sum(sizes), "zstd", asbytes=True) if sum(sizes) else b""
-    ends = np.cumsum(sizes)
-    parts = [tokens_of(texts[e - n : e]) for e, n in zip(ends, sizes)]
-    tokens, lengths = np.concatenate(parts), np.array([len(p) for p in parts])
-    starts = np.cumsum(np.r_[0, lengths[:-1]])
+    ids, tokens, starts, lengths = _tokens(state["ids"][0], state["sizes"][0], state["texts"][0])
     # shards are ranges of the hashes: in their order the answers follow the distinct values
     answers = answers.sort_by("shard")
-    whole = lambda name, kind: np.frombuffer(b"".join(answers[name].to_pylist()), kind)
+    whole = lambda name: np.frombuffer(b"".join(answers[name].to_pylist()), np.uint8).astype(np.int64)
     words, which = np.unique(tokens, return_inverse=True)
     _, pair_of = np.unique(bigrams_of(tokens, starts), return_inverse=True)
-    exact, word_counts = whole("counts", np.int64), middle_of(whole("words", np.uint8).astype(np.int64))
-    pair_counts = middle_of(whole("pairs", np.uint8).astype(np.int64))[pair_of]
+    exact, word_counts = np.concatenate([unplanes(x) for x in answers["counts"].to_pylist()]), middle_of(whole("words"))
+    pair_counts = middle_of(whole("pairs"))[pair_of]
     base = np.add.reduceat(np.log10(exact + 0.1)[which], starts)
     known = np.add.reduceat((exact > 0)[which].astype(np.int64), starts)
     # the model
@@ -308,6 +297,7 @@ def lm_scores(
     max_bits: int = MAX_BITS,
     hot: int | None = None,
     mass: float = MASS,
+    chunk: int = CHUNK,
 ) -> DataFrame:
     """One row per input row: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -326,35 +316,28 @@ def lm_scores(
     # a text has a word for every two bytes at most, and the end token; a word or bigram has no more levels than occurrences
     most = texts.agg(F.sum(F.octet_length("t") / 2 + 1).alias("tokens")).first().tokens or 0
     shards = max(MIN_SHARDS, int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(2 * BITS_PER_ENTRY * most / max_bits))
-    packed = texts.mapInArrow(partial(_count, shards=shards), "shard int, kind int, keys binary, counts binary")
+    chunks = stage(texts.mapInArrow(partial(_chunks, about=chunk), "chunk long, ids array<long>, sizes array<long>, texts binary"), "lm-texts")
+    packed = chunks.mapInArrow(
+        partial(_count, shards=shards), "chunk long, shard int, words binary, word_counts binary, pairs binary, pair_counts binary"
+    )
 
-    def build(group: pa.Table) -> pa.Table:
-        return _build(group, min_bigram)
+    def answer(group: pa.Table) -> pa.Table:
+        return _answer(group, min_bigram)
 
-    model = stage(
-        packed.groupBy("shard").applyInArrow(build, "shard int, kind int, n long, total long, keys binary, counts binary"), "lm-model"
+    answers = stage(
+        packed.groupBy("shard").applyInArrow(answer, "chunk long, shard int, counts binary, words binary, pairs binary, n long, total long"),
+        "lm-answers",
     )
-    sums = model.where("kind = 0").agg(F.sum("total").alias("tokens"), F.sum("n").alias("distinct")).first()
+    sums = answers.agg(F.sum("total").alias("tokens"), F.sum("n").alias("distinct")).first()
     n_train, distinct = sums.tokens or 0, sums.distinct or 0
     floor = n_train + 0.1 * (distinct + 1)
-    asked = stage(
-        texts.mapInArrow(
-            partial(_ask, shards=shards), "chunk long, ids array<long>, sizes array<long>, texts binary, shard int, words binary, pairs binary"
-        ),
-        "lm-asked",
-    )
-    answers = (
-        asked.where("shard IS NOT NULL").select("chunk", "shard", "words", "pairs").groupBy("shard")
-        .cogroup(model.select("shard", "kind", "n", "keys", "counts").groupBy("shard"))
-        .applyInArrow(_answer, "chunk long, shard int, counts binary, words binary, pairs binary")
-    )
 
     def score(state: pa.Table, found: pa.Table) -> pa.Table:
         return _score(state, found, floor, mass)
 
     per_row = (
-        asked.where("shard IS NULL").select("chunk", "ids", "sizes", "texts").groupBy("chunk")
-        .cogroup(answers.groupBy("chunk"))
+        chunks.groupBy("chunk")
+        .cogroup(answers.select("chunk", "shard", "counts", "words", "pairs").groupBy("chunk"))
         .applyInArrow(score, "doc_id long, n_tokens long, n_known long, base double, score double")
     )
     out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 10 == 0

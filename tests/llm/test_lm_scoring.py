@@ -129,15 +129,35 @@ def test_every_counted_pair_is_stored():
     words = np.unique(rng.integers(0, 2**64, 3000, np.uint64))
     group = L.pa.table(
         {
-            "shard": [0, 0], "kind": [0, 1], "keys": [words.tobytes(), L.pack40(pairs)],
-            "counts": [np.ones(len(words), np.uint32).tobytes(), np.full(len(pairs), 2, np.uint32).tobytes()],
+            "chunk": [7], "shard": [0], "words": [words.tobytes()], "word_counts": [np.ones(len(words), np.uint32).tobytes()],
+            "pairs": [L.pack40(pairs)], "pair_counts": [np.full(len(pairs), 2, np.uint32).tobytes()],
         }
     )
-    model = L._build(group, 2)
-    asked = L.pa.table({"chunk": [7], "shard": [0], "words": [words.tobytes()], "pairs": [L.pack40(pairs)]})
-    answer = L._answer(asked, model).to_pylist()[0]
+    answer = L._answer(group, 2).to_pylist()[0]
     assert min(answer["words"]) >= 1 and min(answer["pairs"]) >= 2
-    assert (np.frombuffer(answer["counts"], np.int64) == 1).all()
+    assert (L.unplanes(answer["counts"]) == 1).all() and answer["n"] == answer["total"] == len(words)
+
+
+def test_texts_of_several_chunks(spark):
+    rows = sample(80)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expect = sorted((r.n_tokens, round(r.score, 6)) for r in L.lm_scores(docs).collect())
+    check(L.lm_scores(docs, chunk=200).collect(), rows)
+    assert sorted((r.n_tokens, round(r.score, 6)) for r in L.lm_scores(docs, chunk=200).collect()) == expect
+
+
+def test_bigrams_seen_once_count(spark):
+    trained = [i for i in range(40) if not L.held_out(i)]
+    out = [i for i in range(100, 200) if L.held_out(i)][:2]
+    # each word occurs twice, each bigram of the first held-out text once in training
+    rows = [(i, f"a{i} b{i} c{i}") for i in trained] + [(500 + i, f"c{i} a{i} b{i}") for i in trained if not L.held_out(500 + i)]
+    few = [i for i in trained if not L.held_out(500 + i)][:8]
+    rows += [(out[0], " ".join(f"b{i} c{i}" for i in few)), (out[1], " ".join(f"c{i} b{i}" for i in few))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in L.lm_scores(docs).collect()}
+    assert got[out[0]] > got[out[1]] + 0.5  # the seen order beats the unseen one
+    cut = {r.doc_id: r.score for r in L.lm_scores(docs, min_bigram=2).collect()}
+    assert abs(cut[out[0]] - cut[out[1]]) < 0.2  # as an option, a higher cutoff tells them apart no longer
 
 
 def test_empty_table_and_nothing_to_train_on(spark):
