@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankshelf.llm import exact_dedup, lm_scoring, mixing, packing, quality, secrets, simhash, suffix_dedup, token_shards, url_filters
+from rankshelf.llm import exact_dedup, lm_scoring, mixing, packing, periodic_runs, quality, secrets, simhash, suffix_dedup, token_shards, url_filters
+from rankshelf.llm.text import whole_text, words_of
 
 LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -197,6 +198,28 @@ m AS (SELECT page_id, arg_max(rhost || rpath, length(rhost || rpath)) AS rule, a
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN m USING (page_id)
 """
 
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; with h = crc32(doc_id), a tenth of the texts goes on periodically from some word."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    at = docs.select("doc_id", whole_text("text").alias("text"), F.floor(h / 10).alias("_g"), F.when(h % 10 == 0, words_of(whole_text("text"))).alias("_w"))
+    at = at.withColumn("_n", F.size("_w")).withColumn("_a", F.expr("CASE WHEN _n > 0 THEN CAST(_g % _n AS INT) END"))
+    at = at.withColumn("_p", F.expr("CAST(1 + (_n - _a) DIV (3 + _g % 8) AS INT)"))
+    tail = F.expr("array_join(transform(sequence(0, _n - 1), i -> get(_w, CASE WHEN i < _a THEN i ELSE _a + (i - _a) % _p END)), ' ')")
+    return at.select("doc_id", F.when(F.col("_n") > 0, tail).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, its longest one, and digests of the list and of the collapsed text."""
+    found = periodic_runs.periodic_runs(with_periodic_tails(_table(spark, sf_dir, "documents")))
+    best = F.expr("array_min(transform(runs, r -> struct(-r.length AS less, r.start AS start, r.period AS period)))")
+    listed = F.expr("concat_ws('', transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')))")
+    return found.select("doc_id", "collapsed", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), listed.alias("listed")).select(
+        "doc_id", "n_runs", "best.start", (-F.col("best.less")).alias("length"), "best.period",
+        F.expr("(-best.less) * 1000 DIV best.period").alias("exponent_milli"),
+        F.sha2("listed", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
@@ -208,6 +231,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filters": op10_url_filters,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE = {

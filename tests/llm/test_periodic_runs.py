@@ -1,0 +1,118 @@
+"""Runs against a definition-level search, and the query against a plain version."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from rankshelf.llm import periodic_runs as P, queries
+
+
+def brute_runs(words, min_length=6, exponent=4):
+    """Every stretch of equal words q apart that is long enough, by its smallest period."""
+    runs, n = {}, len(words)
+    for q in range(1, n // exponent + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            length = j + q - i
+            if length >= max(min_length, exponent * q):
+                runs.setdefault((i, length), q)  # q grows, so the first is the smallest
+            i = j
+    return sorted(((s, n_, q) for (s, n_), q in runs.items()), key=lambda r: (r[0], r[2]))
+
+
+def found(words, **options):
+    ids = np.unique(np.array(words, dtype=object), return_inverse=True)[1].astype(np.int64) if words else np.zeros(0, np.int64)
+    n = len(words)
+    got = P.runs_of(ids, np.zeros(n, np.int64), np.zeros(n, np.int64), np.full(n, n), options.get("min_length", 6), options.get("exponent", 4))
+    return sorted(((s, n_, q) for (s, n_), q in got.items()), key=lambda r: (r[0], r[2]))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from("ab"), max_size=60))
+def test_two_letter_texts(words):
+    assert found(words) == brute_runs(words)
+    assert found(words, min_length=3, exponent=3) == brute_runs(words, 3, 3)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.sampled_from("abc"), min_size=1, max_size=4), st.integers(1, 9), st.integers(0, 3)), max_size=8))
+def test_nested_periods(parts):
+    words = [w for base, times, tail in parts for w in base * times + base[:tail]]
+    assert found(words) == brute_runs(words)
+
+
+def test_long_stretches_take_near_linear_work():
+    words = ["x"] * 20000
+    assert found(words) == [(0, 20000, 1)]
+    words = (["a", "b", "c"] * 3000 + ["d"]) * 2 + ["e", "f"] * 2000
+    assert found(words) == brute_runs(words[:18002]) + [(18002, 4000, 2)]
+    frequent = [w for i in range(3000) for w in ("one", "two", "three", "four", "five", f"v{i}")]
+    assert found(frequent) == []
+
+
+def test_odd_rows(spark):
+    rows = [(1, None), (2, ""), (3, " \t\n"), (4, "a " * 30), (4, "a " * 30), (None, "b c " * 8), (5, "word"), (6, ("x y\x0bz\n" * 5) + "é " * 7)]
+    rows += [(7, "long " + " ".join(f"w{i % 50}" for i in range(40000)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS runs", "2 AS t", "'x' AS `a.b`")
+    for slice_words in (1, 1000, 1 << 19):
+        got = sorted((r.doc_id or 0, r.n_words, [tuple(x) for x in r.runs], r.collapsed) for r in P.periodic_runs(docs, slice_words=slice_words).collect())
+        assert got == sorted(
+            [(1, 0, [], ""), (2, 0, [], ""), (3, 0, [], ""), (4, 30, [(0, 30, 1)], "a"), (4, 30, [(0, 30, 1)], "a"),
+             (0, 16, [(0, 16, 2)], "b c"), (5, 1, [], "word"), (6, 22, [(0, 15, 3), (15, 7, 1)], "x y z é"),
+             (7, 40001, [(1, 40000, 50)], "long " + " ".join(f"w{i}" for i in range(50)))]
+        )
+    assert P.periodic_runs(docs.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        P.periodic_runs(docs, min_exponent=2)
+
+
+def plain(doc_id, text):
+    words = (text or "").encode().split()
+    n, h = len(words), zlib.crc32(str(doc_id).encode())
+    g = h // 10
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = brute_runs(words)
+    gone = {i for s, m, q in runs for i in range(s + q, s + m)}
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2])) if runs else (None, None, None)
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    return (
+        doc_id, len(runs), *best, 1000 * best[1] // best[2] if runs else None,
+        sha("".join(f"{s},{m},{q}\n" for s, m, q in runs).encode()), sha(b" ".join(w for i, w in enumerate(words) if i not in gone)),
+    )
+
+
+def test_query_matches_plain_version(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    got = queries.QUERIES["op13_periodic_runs"](spark, folder).select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"
+    ).collect()
+    expect = [plain(d.doc_id, d.text) for d in docs]
+    assert sorted(map(tuple, got)) == sorted(expect)
+    assert sum(e[1] > 0 for e in expect) > 10
+
+
+def test_slices_of_many_documents_agree():
+    rng = random.Random(3)
+    texts = [[rng.choice("ab") for _ in range(rng.randrange(0, 40))] for _ in range(50)]
+    sizes = np.array([len(t) for t in texts])
+    stops = np.cumsum(sizes)
+    ids = np.array([ord(w) for t in texts for w in t], np.int64)
+    got = P.runs_of(ids, np.repeat(np.arange(50), sizes), np.repeat(stops - sizes, sizes), np.repeat(stops, sizes), 6, 4)
+    expect = {(int(stop - size) + s, n): q for t, stop, size in zip(texts, stops, sizes) for s, n, q in brute_runs(t)}
+    assert got == expect
