@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankshelf.llm import exact_dedup, lm_scoring, mixing, packing, periodic_runs, quality, secrets, simhash, suffix_dedup, token_shards, url_filters
+from rankshelf.llm import exact_dedup, fingerprints, lm_scoring, mixing, packing, periodic_runs, quality, secrets, simhash, suffix_dedup, token_shards, url_filters
 from rankshelf.llm.text import whole_text, words_of
 
 LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -198,6 +198,19 @@ m AS (SELECT page_id, arg_max(rhost || rpath, length(rhost || rpath)) AS rule, a
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN m USING (page_id)
 """
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its text with the second half replaced, and how like they are."""
+    rows = fingerprints.beside_next(_table(spark, sf_dir, "documents"))
+    rows = rows.withColumn("edited", F.expr("concat(substring(text, 1, length(text) - CAST(floor(length(text) / 2) AS INT)), next_head)"))
+    rows = fingerprints.with_fingerprint(rows, F.col("edited"), "edited_fingerprint")
+    return rows.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text("fingerprint").alias("fingerprint"), fingerprints.as_text("edited_fingerprint").alias("edited_fingerprint"),
+        fingerprints.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
+        fingerprints.likeness("fingerprint", "next_fingerprint").alias("near_next"),
+    )
+
+
 def with_periodic_tails(docs: DataFrame) -> DataFrame:
     """``doc_id, text``; with h = crc32(doc_id), a tenth of the texts goes on periodically from some word."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -231,6 +244,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filters": op10_url_filters,
+    "op12_fingerprints": op12_fingerprints,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
