@@ -125,7 +125,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def beside_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id, text, fingerprint, next_head, next_fingerprint``.
+    """One row per input row: ``doc_id, text, fingerprint, next_id, next_head, next_fingerprint``.
 
     The next document is the one with the next smaller id, after the smallest the
     largest; with a single document, that one itself. ``next_head`` is the start
@@ -134,23 +134,25 @@ def beside_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     place in the order and get equal results. Null ids come after all others.
     Null texts count as empty; an empty table gives no rows.
     """
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), whole_text(f"`{text_col}`").alias("text")).withColumn("t", F.xxhash64("text"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), whole_text(f"`{text_col}`").alias("text"))
+    # key columns without nulls: the same hash partitioning serves both joins and the grouping
+    rows = rows.withColumn("i", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).withColumn("z", F.col("doc_id").isNull()).withColumn("t", F.xxhash64("text"))
     order = stage(
         global_rank(
-            rows.select("doc_id", "t", F.length("text").alias("n")).distinct(),
+            rows.select("doc_id", "i", "z", "t", F.length("text").alias("n")).distinct(),
             [F.col("doc_id").desc_nulls_last(), F.col("t"), F.col("n")], "place", "places",
         ),
         "document-order",
     )
-    giver = order.withColumn("to", F.when(F.col("place") == 1, F.col("places")).otherwise(F.col("place") - 1))
-    taker = order.select(F.col("place").alias("to"), F.col("doc_id").alias("to_id"), F.col("t").alias("to_t"), F.floor(F.col("n") / 2).cast("int").alias("half"))
-    links = stage(giver.join(taker, "to").select(F.col("doc_id").alias("from_id"), F.col("t").alias("from_t"), "to_id", "to_t", "half"), "document-links")
+    giver = order.select("i", "z", "t", F.when(F.col("place") == 1, F.col("places")).otherwise(F.col("place") - 1).alias("to"))
+    taker = order.select(F.col("place").alias("to"), F.struct("i", "z", "t", F.floor(F.col("n") / 2).cast("int").alias("half")).alias("taker"))
+    links = stage(giver.join(taker, "to").drop("to"), "document-links")
     base = with_fingerprint(rows, F.col("text"), "fingerprint")
-    sent = base.join(links, F.col("doc_id").eqNullSafe(F.col("from_id")) & (F.col("t") == F.col("from_t")))
     heads = (
-        sent.select("to_id", "to_t", F.expr("substring(text, 1, half)").alias("next_head"), F.col("fingerprint").alias("next_fingerprint"))
-        .groupBy("to_id", "to_t").agg(F.max(F.struct("next_head", "next_fingerprint")).alias("next"))  # repeated rows send the same
-    )
-    return base.join(heads, F.col("doc_id").eqNullSafe(F.col("to_id")) & (F.col("t") == F.col("to_t"))).select(
-        "doc_id", "text", "fingerprint", "next.next_head", "next.next_fingerprint"
+        base.join(links, ["i", "z", "t"])
+        .select("taker.i", "taker.z", "taker.t", F.struct(
+            F.expr("substring(text, 1, taker.half)").alias("next_head"), F.col("fingerprint").alias("next_fingerprint"), F.col("doc_id").alias("next_id")
+        ).alias("next"))
+        .groupBy("i", "z", "t").agg(F.max("next").alias("next"))  # repeated rows send the same
     )
+    return base.join(heads, ["i", "z", "t"]).select("doc_id", "text", "fingerprint", "next.next_id", "next.next_head", "next.next_fingerprint")
