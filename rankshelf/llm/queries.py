@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankshelf.llm import exact_dedup, fingerprints, lm_scoring, mixing, packing, periodic_runs, quality, secrets, simhash, suffix_dedup, token_shards, url_filters
+from rankshelf.llm import exact_dedup, fingerprints, lm_scoring, mixing, packing, periodic_runs, quality, secrets, simhash, spelling, suffix_dedup, token_shards, url_filters
 from rankshelf.llm.text import whole_text, words_of
 
 LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -198,6 +198,11 @@ m AS (SELECT page_id, arg_max(rhost || rpath, length(rhost || rpath)) AS rule, a
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN m USING (page_id)
 """
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word of all documents with the form it is taken for; misspelt words are planted."""
+    return spelling.spelling_variants(spelling.word_counts(_table(spark, sf_dir, "documents"), drop_every=97))
+
+
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its text with the second half replaced, and how like they are."""
     rows = fingerprints.beside_next(_table(spark, sf_dir, "documents"))
@@ -244,6 +249,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filters": op10_url_filters,
+    "op11_spelling": op11_spelling,
     "op12_fingerprints": op12_fingerprints,
     "op13_periodic_runs": op13_periodic_runs,
 }

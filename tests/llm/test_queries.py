@@ -37,10 +37,10 @@ def test_query_matches_sql(spark, key):
 def test_every_operator_is_registered():
     names = set(E.queries())
     assert set(Q.QUERIES) <= names and "pipeline" in names
-    assert {int(n[2:].split("_")[0]) for n in Q.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in Q.QUERIES} == set(range(1, 14))
 
 
-@pytest.mark.parametrize("key", ["op1_exact_dedup", "op2_mixing", "op6_secret_scan", "op9_quality_rules", "op10_url_filters"])
+@pytest.mark.parametrize("key", ["op1_exact_dedup", "op2_mixing", "op6_secret_scan", "op9_quality_rules", "op10_url_filters", "op12_fingerprints"])
 def test_native_plans_run_no_python(spark, key):
     plan = Q.QUERIES[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"))
