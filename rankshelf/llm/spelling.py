@@ -39,6 +39,7 @@ from rankshelf.shipping import ship
 RUN_OF_LETTERS = "[A-Za-zÀ-ÿ]+"
 LIMIT = 1024  # words of a key that is not cut further
 TILE = 256  # words of a block
+TASK_ROWS = 1 << 16  # keyed words of a task that compares tiles
 PART = 1 << 17  # different words counted at a time in one task
 
 # ---- words and their counts ------------------------------------------------------------------
@@ -219,7 +220,9 @@ def near_words(words: DataFrame, limit: int = LIMIT, tile: int = TILE) -> DataFr
         if marked.where("again").isEmpty():
             break
         rows = stage(_keyed(marked.where("again").withColumn("segment", F.expr(_halves("lo", "hi", "short"))), F.col("segment")), "spelling-keys")
-    ordered = ready.select("key", "short", "lo", "hi", "word", "n").repartition("key").sortWithinPartitions("key")
+    # comparing costs far more than its bytes tell, so the number of tasks follows the rows
+    tasks = max(1, sum(x.where("NOT again").count() for x in spent) // TASK_ROWS)
+    ordered = ready.select("key", "short", "lo", "hi", "word", "n").repartition(tasks, "key").sortWithinPartitions("key")
     parts = ordered.mapInArrow(partial(_tiles, tile=tile), "word string, n_near long, best_n long, best string")
     out = stage(
         parts.groupBy("word").agg(F.sum("n_near").alias("n_near"), F.min(F.struct((-F.col("best_n")).alias("less"), "best")).alias("b")).select(
