@@ -11,9 +11,14 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+_COLLECTED: ContextVar[list | None] = ContextVar("collected_stages", default=None)
+
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "rankshelf") -> SparkSession:
     """A local session with the settings the tests and the benchmark use."""
@@ -87,9 +92,21 @@ def stage(df, name: str):
     df.write.mode("errorifexists").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._staged_at = path
+    if _COLLECTED.get() is not None:
+        _COLLECTED.get().append(out)
     return out
 
 
+@contextmanager
+def collected_stages() -> Iterator[list]:
+    """The frames that ``stage`` returns inside the block, as a list, to be deleted together once they are not read any more."""
+    token = _COLLECTED.set([])
+    try:
+        yield _COLLECTED.get()
+    finally:
+        _COLLECTED.reset(token)
+
+
 SMALL_BYTES = 16 << 20  # largest written table that is broadcast
 
 
