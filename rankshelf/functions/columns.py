@@ -6,6 +6,8 @@ stays inside whole-stage code generation; nothing here is a Python UDF.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -105,3 +107,13 @@ def ndcg_reference(m_col, r_col, a_col) -> Column:
 def format4(c) -> Column:
     """``{:.4f}`` of the report."""
     return F.format_string("%.4f", col_(c))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body names it.
+
+    The value is bound to a lambda variable. A column of its own would not do: the
+    optimiser may put its expression in place of the name (a filter pushed below it
+    does so), once for every mention, and inside a lambda once for every element.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -1,7 +1,8 @@
 """Description → embedding batch job (EMB-1..5) and token pooling.
 
 The default encoder is a hashing encoder in plain SQL: a token's state is the
-one-hot vector of its md5 bucket. A user's encoder is a factory, built once per
+one-hot vector of its md5 bucket, and the histogram of a text's buckets is made
+inside its row. A user's encoder is a factory, built once per
 Python worker and called on slices of ``batch_size`` texts inside
 ``mapInPandas``; it returns token states and a mask. For both, the mode chooses
 how the states of a text are pooled.
@@ -13,10 +14,10 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankshelf.functions.columns import unicode_strip
+from rankshelf.functions.columns import let, unicode_strip
 from rankshelf.operators.ordering import global_rank
 from rankshelf.shipping import ship
 from rankshelf.sources import io
@@ -92,14 +93,23 @@ def embed(
 
 
 def hashing_embed(texts: DataFrame, mode: str, dim: int = DEFAULT_DIM) -> DataFrame:
-    """EMB-5: the hashing encoder in SQL; at most ``dim`` values meet in one row."""
-    values = pool(token_states(texts, dim, mask=F.lit(1)), mode)
-    norm = F.sqrt(F.sum(F.col("value") * F.col("value")).over(Window.partitionBy("item_id")))
-    unit = values.select("item_id", "dim", (F.col("value") / norm).cast("float").alias("v"))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda d: F.coalesce(F.element_at(F.col("m"), d), F.lit(0.0).cast("float")))
-    known = unit.groupBy("item_id").agg(F.map_from_entries(F.collect_list(F.struct("dim", "v"))).alias("m")).select("item_id", dense.alias("embedding"))
-    empty = F.array_repeat(F.lit(0.0).cast("float"), dim)  # texts without a token
-    return texts.select("item_id").join(known, "item_id", "left").select("item_id", F.coalesce("embedding", empty).alias("embedding"))
+    """EMB-5: the hashing encoder, each text inside its own row; nothing is exploded, joined or shuffled.
+
+    ``sentence`` takes the first token, ``query`` all of them. The buckets of a text and one
+    mark for each bucket are sorted together; the places where a bucket begins give
+    its count, and the counts are scaled to unit length. Texts without a token (null,
+    too) have zero vectors; rows that share an id keep their own.
+    """
+    check_mode(mode)
+    found = F.filter(F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), TOKEN_PATTERN), lambda t: t != "")
+    taken = F.slice(found, 1, 1) if mode == "sentence" else found
+    buckets = F.transform(taken, lambda t: (token_bucket(t) % dim).cast("int"))
+    marked = F.sort_array(F.concat(buckets, F.sequence(F.lit(0), F.lit(dim - 1))))
+    begins = lambda b: F.filter(F.transform(b, lambda x, i: F.when((i == 0) | (x != F.get(b, i - 1)), i)), lambda i: i.isNotNull())
+    counts = lambda b: let(begins(b), lambda at: F.transform(at, lambda i, k: F.coalesce(F.get(at, k + 1), F.size(b)) - i - 1))
+    norm = lambda c: F.sqrt(F.aggregate(c, F.lit(0).cast("bigint"), lambda s, x: s + x.cast("bigint") * x))
+    unit = lambda c: let(norm(c), lambda n: F.transform(c, lambda x: F.when(n > 0, x / n).otherwise(0.0).cast("float")))
+    return texts.select("item_id", let(let(marked, counts), unit).alias("embedding"))
 
 
 def embedding_job(spark, json_path: str, out_path: str, mode: str = "sentence", shard_rows: int = SHARD_ROWS, **encoder) -> None:

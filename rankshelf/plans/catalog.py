@@ -251,17 +251,17 @@ def q26_json_ingest(spark, d):
 
 
 def q27_description_filter(spark, d):
-    return describable(Tables(spark, d).items).select("item_id", F.length("text").cast("bigint").alias("n_chars"))
+    return describable(Tables(spark, d).descriptions).select("item_id", F.length("text").cast("bigint").alias("n_chars"))
 
 
 def q28_embed_job(spark, d):
-    vecs = embed(describable(Tables(spark, d).items), mode="query")
+    vecs = embed(describable(Tables(spark, d).descriptions), mode="query")
     return vectors_long(vecs).select("item_id", F.col("bucket").cast("int").alias("bucket"),
                                      r6(F.col("weight").cast("double")).alias("weight"))
 
 
 def q29_pooling(spark, d):
-    states = stage(token_states(describable(Tables(spark, d).items)), "states")
+    states = stage(token_states(describable(Tables(spark, d).descriptions)), "states")
     out = None
     for mode in ("sentence", "query"):
         p = pool(states, mode).select("item_id", F.lit(mode).alias("mode"), "dim", r6("value").alias("value"))
@@ -311,7 +311,7 @@ def q34_metric_sink(spark, d):
 
 
 def q35_embedding_totals(spark, d):
-    ranked = global_rank(describable(Tables(spark, d).items).select("item_id"), [F.col("item_id")], "rn")
+    ranked = global_rank(describable(Tables(spark, d).descriptions).select("item_id"), [F.col("item_id")], "rn")
     return ranked.groupBy(F.expr(f"(rn - 1) div {TOTAL_ROWS}").alias("batch")).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
 
 
@@ -341,7 +341,7 @@ def q38_master_slices(spark, d):
 
 
 def q39_tfidf(spark, d):
-    w = tfidf(describable(Tables(spark, d).items))
+    w = tfidf(describable(Tables(spark, d).descriptions))
     return top_terms(w, TOP_TERMS).select("item_id", "rank", "term", r6("weight").alias("weight"))
 
 

@@ -86,6 +86,13 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(item_id, description)`` of every item, without the aggregation that the ratings need."""
+    part = _read(spark, sf_dir, "part").select(F.col("p_partkey").cast("bigint").alias("item_id"))
+    docs = _read(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("description"))
+    return part.join(docs, part.item_id == docs.doc_id, "left").select("item_id", "description")
+
+
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "embeddings").select(
         F.col("vec_id").cast("bigint").alias("item_id"), F.col("embedding")
@@ -143,6 +150,10 @@ class Tables:
     def items(self) -> DataFrame:
         return items(self.spark, self.sf_dir)
 
+    @property
+    def descriptions(self) -> DataFrame:
+        return descriptions(self.spark, self.sf_dir)
+
     @cached_property
     def reads_once(self) -> DataFrame:
         """The read interactions, joined once and written, for plans that use them several times."""

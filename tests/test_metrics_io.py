@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import hashlib
 import os
 import subprocess
 import sys
@@ -260,6 +261,26 @@ def test_hashing_embed(spark):
         embed(texts, mode="other")
 
 
+def test_rows_that_share_an_id_keep_their_own_vector(spark):
+    rows = [(1, "alpha beta"), (1, "gamma"), (None, "gamma gamma"), (2, None), (1, "alpha beta"), (3, "wort " * 5000 + "ende")]
+    texts = spark.createDataFrame(rows, "item_id bigint, text string").repartition(3)
+
+    def bucket(token):
+        return int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % 64
+
+    def plain(text, mode):
+        words = (text or "").split()[: 1 if mode == "sentence" else None]
+        v = np.bincount([bucket(w) for w in words], minlength=64).astype(float)
+        return tuple(np.float32(v / (np.linalg.norm(v) or 1)))
+
+    for mode in ("query", "sentence"):
+        out = embed(texts, mode=mode)
+        got = sorted((r.item_id or 0, tuple(np.float32(r.embedding))) for r in out.collect())
+        assert np.allclose([g[1] for g in got], [e[1] for e in sorted((i or 0, plain(t, mode)) for i, t in rows)])
+    plan = embed(spark.createDataFrame(rows, "item_id bigint, text string"), mode="query")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "Generate" not in plan
+
+
 def test_embedding_job_writes_bounded_shards(spark):
     root = tempfile.mkdtemp(prefix="job-")
     with open(root + "/items.json", "w") as f:
