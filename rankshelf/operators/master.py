@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankshelf.operators.embed import tokens
-from rankshelf.operators.ordering import top_n_per_group
+from rankshelf.operators.ordering import global_rank, top_n_per_group
 from rankshelf.session import small_enough, stage
 
 
@@ -17,31 +17,44 @@ def genre_names(genres: DataFrame) -> DataFrame:
     return names.select("item_id", F.trim("genre").alias("genre")).where(F.col("genre") != "").distinct()
 
 
-def master_table(items: DataFrame, item_authors: DataFrame, authors: DataFrame, genres: DataFrame, reads: DataFrame,
-                 nest_interactions: bool = False) -> DataFrame:
+CHUNK_ROWS = 1_024  # interactions in one nested row
+
+
+def interaction_chunks(reads: DataFrame, order: list[Column], chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """IDEA-1, nested: ``(item_id, chunk, interactions)``, every item's interactions as numbered arrays of ``chunk_rows`` at most.
+
+    ``order`` is a total order of one item's interactions (rows that tie must be equal). Positions come from
+    one range partitioning over (item, order), so a hot item is spread over tasks and no array
+    grows with its readers.
+    """
+    fields = ["user_id", "is_read", "rating", "is_reviewed"]
+    placed = global_rank(reads, [F.col("item_id"), *order], "place")
+    first = placed.groupBy("item_id").agg(F.min("place").alias("first"))
+    at = placed.join(first, "item_id").withColumn("pos", F.col("place") - F.col("first"))
+    packed = at.groupBy("item_id", F.floor(F.col("pos") / chunk_rows).cast("bigint").alias("chunk")).agg(
+        F.sort_array(F.collect_list(F.struct("pos", *fields))).alias("rows")
+    )
+    return packed.select("item_id", "chunk", F.transform("rows", lambda r: F.struct(*[r[f].alias(f) for f in fields])).alias("interactions"))
+
+
+def master_table(items: DataFrame, item_authors: DataFrame, authors: DataFrame, genres: DataFrame, reads: DataFrame) -> DataFrame:
     """IDEA-1: one row per item with all its fields, author records, genre names and reading facts.
 
-    Author and genre arrays are small per item. Interactions are summarised
-    (reads, readers) by default; ``nest_interactions=True`` nests them as an
-    array of structs, which puts all reads of a hot item in one row and is
-    only for bounded inputs.
+    An author record has every field of ``authors`` and every field of the link besides its ids (the role). Author
+    and genre arrays are small per item. Interactions are summarised (reads, readers) here and nested, in
+    bounded rows, by ``interaction_chunks``.
     """
+    fields = ["author_id", *[c for c in authors.columns if c != "author_id"], *[c for c in item_authors.columns if c not in ("item_id", "author_id")]]
     auth = (
         item_authors.join(authors, "author_id", "left")
         .groupBy("item_id")
-        .agg(F.array_sort(F.collect_list(F.struct("author_id", "name"))).alias("authors"))
+        .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("authors"))
     )
     gen = genre_names(genres).groupBy("item_id").agg(F.array_sort(F.collect_set("genre")).alias("genres"))
     facts = reads.groupBy("item_id").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_reads"), F.countDistinct("user_id").cast("bigint").alias("n_readers")
     )
-    out = items.join(auth, "item_id", "left").join(gen, "item_id", "left").join(facts, "item_id", "left")
-    if nest_interactions:
-        nested = reads.groupBy("item_id").agg(
-            F.collect_list(F.struct("user_id", "is_read", "rating", "is_reviewed")).alias("interactions")
-        )
-        out = out.join(nested, "item_id", "left")
-    return out
+    return items.join(auth, "item_id", "left").join(gen, "item_id", "left").join(facts, "item_id", "left")
 
 
 def flatten(items: DataFrame, item_authors: DataFrame, authors: DataFrame, genres: DataFrame) -> DataFrame:

@@ -367,3 +367,66 @@ def test_checkpoint_folder_is_reused_and_public_api_imports(spark):
     staged = stage(spark.range(5), "api")
     assert staged.count() == 5
     assert callable(rankshelf.recommend) and "recommend" in rankshelf.__all__
+
+
+def test_dictionary_numbers_never_change(spark):
+    path = tempfile.mkdtemp(prefix="ids-") + "/d"
+    frame = lambda *x: spark.createDataFrame([(i,) for i in x], "text_id string")
+    numbers = lambda: {r.text_id: r.id for r in io.read_dictionary(spark, path).collect()}
+    assert numbers() == {}
+    io.extend_dictionary(spark, path, frame("m", None, "k", "m"))
+    assert numbers() == {"k": 1, "m": 2}
+    io.extend_dictionary(spark, path, frame("a", "m", "z"))
+    assert numbers() == {"k": 1, "m": 2, "a": 3, "z": 4}
+    os.makedirs(path + "/000002")  # what a crashed run leaves: no marker
+    with open(path + "/000002/part-0.parquet", "w") as f:
+        f.write("broken")
+    assert numbers() == {"k": 1, "m": 2, "a": 3, "z": 4}
+    io.extend_dictionary(spark, path, frame("k"))  # nothing new: no generation
+    assert numbers() == {"k": 1, "m": 2, "a": 3, "z": 4}
+    io.extend_dictionary(spark, path, frame("b", ""))
+    assert numbers() == {"k": 1, "m": 2, "a": 3, "z": 4, "": 5, "b": 6}
+
+
+def test_ingest_of_text_ids_rejects_with_reasons(spark):
+    root = tempfile.mkdtemp(prefix="ingest-")
+    lines = ["user_id,book_id,is_read,rating,is_reviewed", "u1,b9,1,5,0", "u1,b2,TRUE,,0", ",b2,1,1,1", "u2, ,1,1,1", "u2,b2,maybe,1,1", "u2,b2,0,x,1",
+             "u2,b2,0,1,2", "u2,b2,0,1", "u2,b2,0,1,1,7", " u0 ,b2,false,3,true", "u1,b9,1,5,0"]
+    with open(root + "/in.csv", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    good, rejects = io.ingest_interactions(spark, root + "/in.csv", root + "/users", root + "/items")
+    assert sorted(map(tuple, good.collect())) == [(1, 1, 0, 3, 1), (2, 2, 1, 5, 0), (2, 2, 1, 5, 0)]
+    assert sorted(r.reason for r in rejects.collect()) == sorted(
+        ["bad rating", "no user", "no item", "bad is_read", "bad rating", "bad is_reviewed", "malformed", "malformed"]
+    )
+    with open(root + "/more.csv", "w") as f:
+        f.write("header\na,b9,1,1,1\n")
+    good, rejects = io.ingest_interactions(spark, root + "/more.csv", root + "/users", root + "/items")
+    assert [tuple(r) for r in good.collect()] == [(3, 2, 1, 1, 1)] and rejects.count() == 0
+
+
+def test_repeated_metric_runs_replace_their_rows(spark):
+    path = tempfile.mkdtemp(prefix="metrics-") + "/m"
+    frame = lambda v: spark.createDataFrame([("ndcg", v), ("recall", v / 2)], "metric string, value double")
+    for run, scenario, value in (("1", "warm", 0.4), ("1", "cold", 0.2), ("2", "warm", 0.6), ("1", "warm", 0.8)):
+        io.append_metrics(frame(value), path, run, scenario)
+    got = {(r.run, r.scenario, r.metric): r.value for r in io.read_metrics(spark, path).collect()}
+    assert got == {("1", "warm", "ndcg"): 0.8, ("1", "warm", "recall"): 0.4, ("1", "cold", "ndcg"): 0.2, ("1", "cold", "recall"): 0.1,
+                   ("2", "warm", "ndcg"): 0.6, ("2", "warm", "recall"): 0.3}
+
+
+def test_stale_stages_are_built_again(spark):
+    root = tempfile.mkdtemp(prefix="stage-")
+    source, path, built = root + "/in", root + "/out", []
+
+    def stage_of(k):
+        mark = io.input_fingerprint(spark, {"k": k}, source)
+        return io.materialise(spark, path, lambda: built.append(k) or spark.read.parquet(source).limit(k), mark).count()
+
+    spark.range(10).write.parquet(source)
+    assert stage_of(3) == 3 and stage_of(3) == 3 and built == [3]
+    assert stage_of(4) == 4 and built == [3, 4]  # another parameter
+    spark.range(2).write.mode("overwrite").parquet(source)
+    assert stage_of(4) == 2 and built == [3, 4, 4]  # another input
+    os.remove(path + "/_FINGERPRINT")  # a crash after the data
+    assert stage_of(4) == 2 and built == [3, 4, 4, 4]
