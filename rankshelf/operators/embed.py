@@ -133,7 +133,9 @@ def token_bucket(token_col) -> F.Column:
 
 def vectors_long(vectors: DataFrame) -> DataFrame:
     """``(item_id, bucket, weight)`` for the non-zero entries of ``(item_id, embedding)``."""
-    return vectors.select("item_id", F.posexplode("embedding").alias("bucket", "weight")).where(F.col("weight") != 0)
+    # outer: for the inner form the optimiser infers a filter on the array and computes the vectors a second time for it;
+    # the row of a missing vector has no weight and goes
+    return vectors.select("item_id", F.posexplode_outer("embedding").alias("bucket", "weight")).where(F.col("weight") != 0)
 
 
 def token_states(texts: DataFrame, dim: int = DEFAULT_DIM, mask=None) -> DataFrame:

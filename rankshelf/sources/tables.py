@@ -89,9 +89,9 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(item_id, description)`` of every item, without the aggregation that the ratings need."""
     part = _read(spark, sf_dir, "part").select(F.col("p_partkey").cast("bigint").alias("item_id"))
-    # the test file has one row group, which one task would read and encode alone
-    docs = _read(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("description")).repartition("doc_id")
-    return part.join(docs, part.item_id == docs.doc_id, "left").select("item_id", "description")
+    docs = _read(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("description"))
+    # the test files have one row group each, which one task would join and encode alone
+    return part.join(docs, part.item_id == docs.doc_id, "left").select("item_id", "description").repartition("item_id")
 
 
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
