@@ -3,8 +3,8 @@
 Every URL is expanded into expressions ``host suffix + path prefix`` (suffixes
 cut at dots, prefixes cut after slashes, no longer than the longest rule). The
 expressions meet the rules in an equi-join on a four-byte prefix of their
-SHA-256; the full digests confirm the match, and the longest confirmed rule
-wins. The work is done once per distinct host and path.
+SHA-256, each distinct expression once; the full digests confirm the match, and
+the longest confirmed rule wins. URLs are expanded once per distinct host and path.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rankshelf.llm.text import lower_az
+from rankshelf.session import small_enough, stage
 
 PREFIX_HEX = 8  # hex digits of the short hash prefix: four bytes
 
@@ -57,7 +58,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
         F.max(F.size(F.split(F.substring_index("rule", "/", 1), r"\."))).alias("labels"),
         F.max(F.size(F.split("rule", "/")) - 1).alias("cuts"),
     ).first()
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("_u"))
+    rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("_u"))
     host, path = host_and_path(F.col("_u"))
     rows = rows.withColumn("host", host).withColumn("path", path)
     if most.labels is None:
@@ -73,9 +74,18 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
         .select("host", "path", F.sha2(F.concat("_h", "_p"), 256).alias("_digest"))
         .withColumn("prefix", F.substring("_digest", 1, PREFIX_HEX))
     )
-    won = (
-        expressions.join(table, "prefix")
+    # every URL of a domain makes that domain's expressions: the rules are looked up once for each
+    confirmed = stage(
+        expressions.select("prefix", "_digest").distinct()
+        .join(table, "prefix")
         .where(F.col("_digest") == F.col("digest"))
+        .select("_digest", "rule", "verdict"),
+        "url-rules",
+    )
+    # no more rows than rules; sent to the expressions while they are few, else AQE splits a hot expression
+    hits = F.broadcast(confirmed) if small_enough(confirmed) else confirmed
+    won = (
+        expressions.join(hits, "_digest")
         .groupBy("host", "path")
         .agg(F.max(F.struct(F.length("rule").alias("n"), "verdict", "rule")).alias("best"))
         .select("host", "path", "best.rule", "best.verdict")
