@@ -278,7 +278,7 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its class, with all their columns.
+    """The rows of ``docs`` whose id is the smallest of its class, with all their columns whatever their names.
 
     Rows are told apart by id: rows that share one stay or go together, and a row
     without an id, which cannot be named, stays.
@@ -287,4 +287,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         simhash_classes(docs, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("_sim_gone")).distinct(),
         "simhash-gone",
     )
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("_sim_gone"), "left_anti")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))  # no column can clash with the id
+    return rows.join(gone, F.col(f"_row.`{id_col}`") == F.col("_sim_gone"), "left_anti").select("_row.*")

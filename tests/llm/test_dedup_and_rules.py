@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from rankshelf.llm import exact_dedup, quality, queries, url_filters
+from rankshelf.llm import exact_dedup, quality, queries, simhash, url_filters
 
 LOW = {c: c + 32 for c in range(65, 91)}
 
@@ -58,13 +58,60 @@ def test_drop_keeps_one_row_of_each_text(spark):
     assert all(r.doc_id == groups[(r.text or "").translate(LOW)][0] for r in got)
 
 
-def test_colliding_buckets_change_nothing(spark, monkeypatch):
-    monkeypatch.setattr(exact_dedup, "BUCKETS", 2)
+def test_colliding_bits_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "MAX_BITS", 1)  # one page for all keys
+    monkeypatch.setattr(exact_dedup, "PAGE_BITS", 8)
     rows = dedup_rows()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     groups = brute_groups(rows)
     got = exact_dedup.exact_duplicates(docs).collect()
     assert Counter((r.doc_id, r.group_size) for r in got) == Counter((i, groups[(t or "").translate(LOW)][1]) for i, t in rows)
+    kept = exact_dedup.drop_exact_duplicates(docs).collect()
+    assert sorted((r.text or "").translate(LOW) for r in kept) == sorted(groups)
+
+
+def test_only_suspects_are_hashed_when_keys_outnumber_bits(spark, monkeypatch):
+    texts = [f"{i:05d} of one length" for i in range(3000)] + [f"{i:05d} of one length" for i in range(40)]
+    texts += ["x" * 64 + f"{i:05d}" for i in range(30)]  # same length and prefix: suspects without a copy
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    twice = {t for t, n in Counter(texts).items() if n > 1}
+    for bits in (exact_dedup.MAX_BITS, 1):
+        monkeypatch.setattr(exact_dedup, "MAX_BITS", bits)
+        monkeypatch.setattr(exact_dedup, "PAGE_BITS", 1 << 15 if bits > 1 else 64)
+        got = exact_dedup.exact_duplicates(docs).collect()
+        assert {texts[r.doc_id] for r in got if r.text_sha256 is not None} == twice | set(texts[-30:])
+        assert {texts[r.doc_id] for r in got if r.group_size > 1} == twice
+    monkeypatch.undo()
+    rows = exact_dedup._rows(docs, "text", exact_dedup.F.col("doc_id"))
+    marked = exact_dedup.with_suspicion(rows, exact_dedup.suspect_keys(rows)).where("_suspect").count()
+    assert 2 * len(twice) + 30 <= marked <= 2 * len(twice) + 30 + 60  # the others met a bit by chance
+
+
+CLASHES = ["_row", "_text", "_bytes", "_prefix", "_full", "_suspect", "_page", "_place", "_bits", "_bit", "_xd_bytes", "_xd_hit", "_keep", "_size", "count", "_sim_gone", "a.b"]
+
+
+@pytest.mark.parametrize("drop", [exact_dedup.drop_exact_duplicates, simhash.drop_near_duplicates])
+def test_no_column_clashes_with_a_drop_stage(spark, drop):
+    rows = [(i, f"text number {i % 5} with some words of its own {'abcde'[i % 5] * 9}", [{"k": i}], *range(98, 98 + len(CLASHES))) for i in range(10)]
+    schema = "doc_id long, text string, maps array<map<string,int>>, " + ", ".join(f"`{c}` int" for c in CLASHES)
+    got = drop(spark.createDataFrame(rows, schema))
+    assert got.columns == ["doc_id", "text", "maps", *CLASHES]
+    found = got.collect()
+    assert 0 < len(found) <= 5 and all(tuple(r)[3:] == tuple(range(98, 98 + len(CLASHES))) and r.maps == [{"k": r.doc_id}] for r in found)
+
+
+def test_columns_with_a_dot(spark):
+    docs = spark.createDataFrame([(1, "Ab"), (2, "aB"), (3, "c")], "`the.id` long, `the.text` string")
+    assert {r.doc_id: r.keep_id for r in exact_dedup.exact_duplicates(docs, "the.id", "the.text").collect()} == {1: 2, 2: 2, 3: 3}
+    assert sorted(r[0] for r in exact_dedup.drop_exact_duplicates(docs, "the.id", "the.text").collect()) == [2, 3]
+    pages = spark.createDataFrame([(1, "http://a.net/x")], "`page.id` long, `the.url` string")
+    rules = spark.createDataFrame(queries.URL_RULES, "host string, path string, verdict string")
+    assert [(r.page_id, r.rule) for r in url_filters.judge_urls(pages, rules, "page.id", "the.url").collect()] == [(1, "net/")]
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert exact_dedup.exact_duplicates(docs).count() == 0 and exact_dedup.drop_exact_duplicates(docs).count() == 0
 
 
 # ---- URL filters -----------------------------------------------------------------------------
