@@ -46,7 +46,8 @@ def _rows(docs: DataFrame, text_col: str, row: Column) -> DataFrame:
 def suspect_keys(rows: DataFrame) -> DataFrame:
     """The pairs ``_bytes, _prefix`` that occur more than once, written."""
     keys = stage(rows.select("_bytes", "_prefix"), "dedup-keys")
-    lengths = keys.groupBy("_bytes").count().where("count > 1").select("_bytes")
+    # written, so that their size is known: a list of lengths is short as a rule, and then no key is shuffled to meet it
+    lengths = stage(keys.groupBy("_bytes").count().where("count > 1").select("_bytes"), "dedup-lengths")
     prefixes = keys.join(lengths, "_bytes", "left_semi").groupBy("_bytes", "_prefix").count()
     return stage(prefixes.where("count > 1").select("_bytes", "_prefix"), "dedup-suspects")
 
