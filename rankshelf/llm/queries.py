@@ -43,13 +43,13 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mixing_sql() -> str:
-    """The rounds of raking, written out one scaling after the other."""
+    """Rounds of raking, written out one scaling after the other; enough for the marginals of any table of ours to agree."""
     count = "length(t) - length(regexp_replace(t, '[{}]', '', 'g'))"
     steps, last = [], "w0"
     for d in mixing.DIMENSIONS:
         steps.append(f"""g_{d} AS (SELECT {d} AS value, p / sum(p) OVER () AS target FROM (
   SELECT {d}, pow(sum(tokens) / (SELECT sum(tokens) FROM cells), {mixing.ALPHA}) AS p FROM cells GROUP BY {d}))""")
-    for n in range(mixing.ROUNDS):
+    for n in range(24):
         for d in mixing.DIMENSIONS:
             steps.append(f"""w{n}_{d} AS MATERIALIZED (SELECT source, lang, topic, tokens, w * target / sum(w) OVER (PARTITION BY {d}) AS w
   FROM {last} JOIN g_{d} ON {last}.{d} = g_{d}.value)""")
@@ -67,7 +67,7 @@ d AS (
 cells AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM d GROUP BY ALL),
 w0 AS (SELECT *, tokens / (SELECT sum(tokens) FROM cells) AS w FROM cells),
 {", ".join(steps)},
-p AS (SELECT source, lang, topic, least(1.0, {mixing.RATE} * w * (SELECT sum(tokens) FROM cells) / tokens) AS probability FROM {last})
+p AS (SELECT source, lang, topic, w / tokens / max(w / tokens) OVER () AS probability FROM {last})
 SELECT doc_id, source, lang, topic, tokens, round(probability, 6) AS probability,
        ('0x' || substr(md5('{mixing.SEED}:' || doc_id), 1, 13))::BIGINT / {float(1 << 52)!r}::DOUBLE < probability AS sampled
 FROM d JOIN p USING (source, lang, topic)

@@ -83,3 +83,46 @@ def test_given_targets_are_met_in_expectation(spark):
     assert abs(expected["a"] - expected["b"]) < 1e-6
     drawn = Counter(r.source for r in got if r.sampled)
     assert abs(drawn["a"] - drawn["b"]) < 40 and 150 < sum(drawn.values()) < 250
+
+
+def test_every_default_target_is_met(spark):
+    got = mixing.mix(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).cache()
+    report = mixing.marginals(got).collect()
+    assert {r.dimension for r in report} == set(mixing.DIMENSIONS)
+    assert all(r.error < 1e-6 for r in report)
+    for d in mixing.DIMENSIONS:
+        assert abs(sum(r.expected for r in report if r.dimension == d) - 1) < 1e-9
+    assert max(r.probability for r in got.collect()) == 1.0  # no higher share of the tokens could be kept
+    got.unpersist()
+
+
+def test_a_given_rate_rakes_on_beyond_full_cells(spark):
+    # b/x is full at this rate; b/y makes up for it, so both marginals are still met
+    rows = [(i, "word " * 9, "a", "x") for i in range(300)] + [(400 + i, "word " * 9, "a", "y") for i in range(100)]
+    rows += [(600 + i, "word " * 9, "b", "x") for i in range(40)] + [(700 + i, "word " * 9, "b", "y") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    targets = {
+        "source": spark.createDataFrame([("a", 0.5), ("b", 0.5)], "value string, target double"),
+        "lang": spark.createDataFrame([("x", 0.6), ("y", 0.4)], "value string, target double"),
+    }
+    got = mixing.mix(docs, targets, rate=0.5, rounds=12)
+    chances = {(r.source, r.lang): r.probability for r in got.select("source", "lang", "probability").distinct().collect()}
+    assert chances["b", "x"] == 1.0 and max(v for k, v in chances.items() if k != ("b", "x")) < 1
+    assert all(r.error < 1e-3 for r in mixing.marginals(got, targets).collect())
+    kept = sum(10 * chances[s, l] for _, _, s, l in rows)
+    assert abs(kept / (10 * len(rows)) - 0.5) < 1e-3
+
+
+def test_a_target_beyond_the_documents_is_reported(spark):
+    rows = [(i, "word " * 9, "a" if i else "b", "x") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    targets = {"source": spark.createDataFrame([("a", 0.5), ("b", 0.5)], "value string, target double")}
+    report = {(r.dimension, r.value): r for r in mixing.marginals(mixing.mix(docs, targets, rate=0.5, rounds=3), targets).collect()}
+    assert report["source", "b"].error > 0.9  # one document cannot be half of fifty
+    exact = {(r.dimension, r.value): r for r in mixing.marginals(mixing.mix(docs, targets), targets).collect()}
+    assert exact["source", "b"].error < 1e-6
+
+
+def test_report_of_an_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, source string, lang string")
+    assert mixing.marginals(mixing.mix(docs)).count() == 0
