@@ -80,8 +80,8 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stage(df, name: str):
-    """Write ``df`` as Parquet under the checkpoint folder and read it back.
+def stage(df, name: str, by: str | None = None):
+    """Write ``df`` as Parquet under the checkpoint folder, in a folder for each value of column ``by`` if given, and read it back.
 
     Used for intermediate tables that are read several times: the plan runs
     once, later readers scan compact columnar files (with pruning and size
@@ -89,7 +89,7 @@ def stage(df, name: str):
     instead of recomputing the upstream stages.
     """
     path = scratch_dir(df.sparkSession, name) + "/data"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").parquet(path, partitionBy=by)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._staged_at = path
     if _COLLECTED.get() is not None:
