@@ -121,3 +121,10 @@ def unstage(*frames) -> None:
     for df in frames:
         fs, jpath = _file_system(df.sparkSession, df._staged_at)
         fs.delete(jpath.getParent(), True)
+
+
+def unstage_folders(df, by: str, values) -> None:
+    """Delete the folders of some values of a frame that ``stage`` wrote cut by column ``by``, once no later plan reads them."""
+    fs, _ = _file_system(df.sparkSession, df._staged_at)
+    for value in values:
+        fs.delete(df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{df._staged_at}/{by}={value}"), True)
