@@ -4,9 +4,10 @@ One pass over the texts turns the matches of every pattern into lengths (the
 gaps between matches and the matches), written once without the texts. All that
 follows works on these narrow rows: a running sum per document and pattern gives
 the spans in code points, and weak candidates are linked by an interval join in
-the form of a sweep: span ends and starts are ordered within their document and
-range frames of ``SCOPE`` code points count the parts on either side, so no pair
-of spans is built.
+the form of a sweep: span ends and starts are ordered within their document, and
+range frames count the parts that began up to ``SCOPE`` code points after a span and,
+to take away, those that ended more than ``SCOPE`` before it, so no pair of spans is
+built. Parts that overlap the span (credentials inside an endpoint) are among them.
 
 Kinds. Always reported: ``assign``, ``access``, ``hex``. Reported only in
 company: ``weak_id`` (20 capital letters and digits) next to a secret part,
@@ -70,7 +71,7 @@ def _spans(rows: DataFrame) -> DataFrame:
 
 
 def _linked(spans: DataFrame, scope: int) -> DataFrame:
-    """The weak spans that have complementary parts within ``scope`` code points before or after them."""
+    """The weak spans that overlap complementary parts or have them within ``scope`` code points before or after."""
     roles = F.element_at(F.array(*[F.lit(k[4]) for k in KINDS]), F.col("kind") + 1)
     weak_rows = spans.where(f"kind >= {N_BASE}").select("_s_row").distinct()
     events = (
@@ -82,12 +83,13 @@ def _linked(spans: DataFrame, scope: int) -> DataFrame:
     order = Window.partitionBy("_s_row").orderBy("at")
 
     def near(role: str) -> Column:
-        ended = F.sum(F.when((F.col("role") == role) & ~F.col("opens"), 1).otherwise(0)).over(order.rangeBetween(-scope, 0))
-        begins = F.sum(F.when((F.col("role") == role) & F.col("opens"), 1).otherwise(0)).over(order.rangeBetween(0, scope))
-        return F.when(F.col("opens"), ended).otherwise(begins) > 0
+        ended = F.sum(F.when((F.col("role") == role) & ~F.col("opens"), 1).otherwise(0)).over(order.rangeBetween(Window.unboundedPreceding, -scope - 1))
+        begun = F.sum(F.when((F.col("role") == role) & F.col("opens"), 1).otherwise(0)).over(order.rangeBetween(Window.unboundedPreceding, scope))
+        return F.when(F.col("opens"), -F.coalesce(ended, F.lit(0))).otherwise(begun)
 
     sides = events.withColumn("near_id", near("id")).withColumn("near_secret", near("secret")).where(f"kind >= {N_BASE}")
-    both = sides.groupBy("_s_row", "kind", "start", "stop").agg(F.max("near_id").alias("near_id"), F.max("near_secret").alias("near_secret"))
+    # a span's own role is never the one it looks for, and its two events are one row each
+    both = sides.groupBy("_s_row", "kind", "start", "stop").agg((F.sum("near_id") > 0).alias("near_id"), (F.sum("near_secret") > 0).alias("near_secret"))
     return both.withColumn("role", roles).where(
         "role = 'id' AND near_secret OR role = 'secret' AND near_id OR role = 'endpoint' AND near_id AND near_secret"
     ).select("_s_row", "kind", "start", "stop")
