@@ -10,8 +10,8 @@ mod 10 is not 0). It is made and used in three steps:
    1 + floor(log2 c). The n-grams that the chunks ask for are written in bundles of
    neighbouring shards, next to the parts.
 2. *Probe.* The parts are broadcast in passes of at most ``PASS_BYTES``, sizes
-   checked before. A pass reads only the bundles whose parts it has, so every n-gram
-   is read once, however many passes there are. The count of an n-gram is read back
+   checked before. A pass reads only the bundles whose parts it has, and deletes them,
+   so every n-gram is read once, however many passes there are. The count of an n-gram is read back
    by probing level 1, 2, ... until a probe fails; the last level that held gives the
    middle of its range of counts.
 3. *Score.* The levels meet the texts of their chunk. A token's probability is
@@ -44,7 +44,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from rankshelf.session import scratch_dir, stage, unstage
+from rankshelf.session import scratch_dir, stage, unstage, unstage_folders
 from rankshelf.shipping import ship
 
 MIN_BIGRAM = 1  # least count of a stored bigram: all; a higher one is an option
@@ -389,6 +389,7 @@ def lm_scores(
         wanted = asked.where(here & F.col("chunk").isNotNull()).select("chunk", "shard", "counts", "words", "pairs")
         wanted.mapInArrow(probe, levels_of).write.mode("append").parquet(levels_at)
         bloom.unpersist()
+        unstage_folders(asked, "bundle", range(first, last + 1))
     unstage(asked)
     answers = spark.read.schema(levels_of).parquet(levels_at)
 
