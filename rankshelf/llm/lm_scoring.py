@@ -387,7 +387,7 @@ def lm_scores(
             return _probe(batches, bloom.value)
 
         wanted = asked.where(here & F.col("chunk").isNotNull()).select("chunk", "shard", "counts", "words", "pairs")
-        wanted.mapInArrow(probe, levels_of).write.mode("append").parquet(levels_at)
+        wanted.mapInArrow(probe, levels_of).write.mode("append").option("compression", "zstd").parquet(levels_at)
         bloom.unpersist()
         unstage_folders(asked, "bundle", range(first, last + 1))
     unstage(asked)
