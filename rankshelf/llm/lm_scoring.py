@@ -109,9 +109,10 @@ _TEXTS = pa.schema([("chunk", pa.int64()), ("ids", pa.list_(pa.int64())), ("size
 def _chunks(batches: Iterator[pa.RecordBatch], about: int) -> Iterator[pa.RecordBatch]:
     """Whole documents, ``about`` so many bytes in a row."""
     chunk = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 33
+    codec = pa.Codec("zstd", compression_level=6)  # texts lie on disk twice: here and in the last shuffle
 
     def row(ids: list, texts: list) -> pa.RecordBatch:
-        values = chunk, ids, [len(t) for t in texts], pa.compress(b"".join(texts), "zstd", asbytes=True)
+        values = chunk, ids, [len(t) for t in texts], codec.compress(b"".join(texts), asbytes=True)
         return pa.record_batch([pa.array([v], f.type) for v, f in zip(values, _TEXTS)], schema=_TEXTS)
 
     ids, texts, size = [], [], 0
