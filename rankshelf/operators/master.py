@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,8 @@ def genre_names(genres: DataFrame) -> DataFrame:
     return names.select("item_id", F.trim("genre").alias("genre")).where(F.col("genre") != "").distinct()
 
 
+TASK_CHARS = 4_000_000  # text whose terms one task counts
+TASK_TERMS = 1_000_000  # (item, term) rows that one task normalises
 CHUNK_ROWS = 1_024  # interactions in one nested row
 
 
@@ -83,10 +87,15 @@ def tfidf(texts: DataFrame) -> DataFrame:
 
     The term-frequency table feeds the document count, the document
     frequencies and the weights, so it is staged once instead of tokenising
-    every text three times.
+    every text three times. The tasks that count and normalise terms grow in number with
+    the text, so what one of them holds does not.
     """
+    least = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    # never the default number: a repartition below by the same key would stand for this one, and adaptive execution may merge its tasks
+    spread = texts.select("item_id", "text").repartition(max(least + 1, math.ceil(chars / TASK_CHARS)), "item_id")
     tf = stage(
-        tokens(texts).groupBy("item_id", F.col("token").alias("term")).agg(F.count(F.lit(1)).cast("double").alias("tf")),
+        tokens(spread).groupBy("item_id", F.col("token").alias("term")).agg(F.count(F.lit(1)).cast("double").alias("tf")),
         "tfidf-tf",
     )
     n_docs = tf.select("item_id").distinct().count()
@@ -95,6 +104,7 @@ def tfidf(texts: DataFrame) -> DataFrame:
     w = tf.join(F.broadcast(df_) if small_enough(df_) else df_, "term").select(
         "item_id", "term", (F.col("tf") * (F.log((F.lit(1.0 + n_docs)) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0))).alias("w")
     )
+    w = w.repartition(max(least, math.ceil(tf.count() / TASK_TERMS)), "item_id")
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("item_id")))
     return w.select("item_id", "term", (F.col("w") / norm).alias("weight"))
 
