@@ -89,6 +89,39 @@ def test_offsets_of_contexts_match_brute_force(seed):
         assert (first[i], last[i]) == ((hits[0], hits[-1]) if hits else (-1, -1))
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_contexts_of_a_frequent_gram_are_sorted_in_bounded_groups(monkeypatch, seed):
+    """op4: all contexts of a gram were sorted at once, up to 50,000 of them."""
+    import pyarrow as pa
+
+    rnd = random.Random(seed)
+    rule = S.Repeats(**RULE)
+    rows = []
+    for gram in range(4):
+        core = rnd.choices("ab", k=rule.gram)
+        sides = [(rnd.choices("ab", k=rule.reach), rnd.choices("ab", k=rule.reach)) for _ in range(3)]
+        for n in range((60, 2, 1, 25)[gram]):
+            x, y = rnd.choice(sides)[0], rnd.choice(sides)[1]
+            x = [c if rnd.random() < 0.97 else "c" for c in x][rnd.choice([0, 0, 5, rule.reach]) :]
+            y = [c if rnd.random() < 0.97 else "c" for c in y][: rnd.choice([rule.reach, rule.reach, 20])]
+            rows.append((gram, n, len(x), "".join([*x, *core, *y]).encode()))
+    rows += [rows[-1]]  # another copy of a context
+    batches = [pa.RecordBatch.from_pylist([dict(zip(("gram", "context", "before", "bytes"), r)) for r in rows[at : at + 7]]) for at in range(0, len(rows), 7)]
+    expected, own = {}, rows[:-1]
+    first, last = S.repeated_offsets(np.array([r[0] for r in own]), np.array([r[2] for r in own]), [r[3] for r in own], rule)
+    expected = {r[:2]: (o, rule.length - f) for r, f, o in zip(own, first.tolist(), last.tolist()) if f >= 0}
+    sizes, real = [], S.repeated_offsets
+    monkeypatch.setattr(S, "repeated_offsets", lambda group, *a: (sizes.append(len(group)), real(group, *a))[1])
+    for most in (1, 3, 8, 1000):
+        monkeypatch.setattr(S, "SORTED", most)
+        sizes.clear()
+        out = [r for b in S._sorted(iter(batches), rule) for r in b.to_pylist()]
+        got = {(r["gram"], r["context"]): (r["left"], r["right"]) for r in out}
+        assert len(out) == len(got)  # one row a context, however many offsets repeat
+        assert got == expected and len(expected) > 10
+        assert all(n <= most for n in sizes) and (most < 3 or sizes)
+
+
 def test_collisions_are_caught(monkeypatch):
     rule = S.Repeats(**RULE)
     rnd = random.Random(4)
