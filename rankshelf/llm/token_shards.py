@@ -10,7 +10,7 @@ resume anywhere.
 
 Numbering takes two passes over the documents, as a sequence's number depends on
 all partitions before its own: the first counts sequences per input partition
-(one row each), the second tokenises again and emits records. Both passes read
+(one row each) and makes no ids, the second tokenises and emits records. Both passes read
 the same partitions of the input, so ``docs`` should be a table read from files;
 a checksum of ids and lengths makes the second pass fail, rather than mislabel,
 if a partition differs.
@@ -26,9 +26,7 @@ import base64
 import json
 import re
 import struct
-import sys
 import zlib
-from array import array
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 from functools import partial
@@ -47,8 +45,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed pattern that belongs to the vocabulary: how a text is cut before byte pairs are merged.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END = 50_256  # free id of the vocabulary: end of text, and padding
-MEMORY = 150_000  # words in each of the two generations that a worker remembers
-SLICE = 1 << 22  # characters encoded at a time
+MEMORY = 200_000  # words that a worker remembers
+SLICE = 1 << 21  # bytes encoded at a time
 
 _HEADER = struct.Struct("<qiHH")  # doc_id, number in the document, ids, 1 if the doc_id is null
 
@@ -76,40 +74,44 @@ class Layout:
 _WORKER: dict[int, "Encoder"] = {}  # one encoder per worker and vocabulary
 
 
-class _Pieces(dict):
-    """Ids of pieces; one that is missing is looked up in the generation before or encoded, and kept."""
+_BLANK, _SPACE, _ALNUM, _MARK, _LEAD = 1, 2, 4, 8, 16
 
-    def __init__(self, plain, before: dict[str, bytes]):
-        super().__init__({"": b""})
-        self._plain, self.before = plain, before
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.before.get(piece)
-        if ids is None:
-            mark = piece[-1]
-            if mark in ",.;:!?" and piece[-2:-1].isalnum():
-                ids = self[piece[:-1]] + self[mark]
-            else:
-                packed = array("H", self._plain(piece))
-                if sys.byteorder == "big":
-                    packed.byteswap()
-                ids = packed.tobytes()
-        if len(piece) <= 32:
-            self[piece] = ids
-        return ids
+def _byte_kinds() -> np.ndarray:
+    kinds = np.zeros(256, np.uint8)
+    kinds[32] = _BLANK | _SPACE
+    kinds[9:14] = _SPACE
+    kinds[list(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = _ALNUM
+    kinds[list(b",.;:!?")] = _MARK
+    kinds[[0xC2, 0xE1, 0xE2, 0xE3]] = _LEAD  # of white space beyond ASCII, and of much else
+    return kinds
+
+
+_KINDS = _byte_kinds()
+_WIDE = "\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Equal to PATTERN where each run of white space is a line feed and a blank at most, and faster, as it looks at nothing behind a match.
+_WORDS_PATTERN = PATTERN.replace(r"|\s+(?!\S)|\s+", r"|\s")
+_WORD = rf"^ ?[^\s\x0b{_WIDE}]+$"
+
+
+def _runs(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... (sizes[0] numbers), first[1], ..."""
+    ends = np.cumsum(sizes)
+    return np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class Encoder:
-    """Byte-pair encoder that remembers the ids of frequent words.
+    """Byte-pair encoder that remembers the ids of words.
 
-    The pattern never joins a blank or line feed to what is before it, and gives a
-    line feed ids of its own, unless two white spaces meet. Texts without two white
-    spaces in a row are therefore cut before every blank and around every line feed,
-    and the distinct pieces of many texts, which are mostly single words, are looked
-    up. A closing mark after a letter or digit is a piece of its own as well.
+    Byte pairs are merged within the pattern's matches only, so a text may be cut wherever a match ends,
+    and these places show in its bytes. A match ends before a run of white space; before the run's last
+    character unless the text ends there; after that character unless it is a blank; and between an ASCII
+    letter or digit and a closing mark. Only texts in which white space beyond ASCII meets other white
+    space are encoded whole. The pieces of many texts, which are mostly single words, are looked up at
+    once, and unknown ones encoded in one call.
 
-    Memory is bounded by two generations of about ``MEMORY`` pieces: when the young one
-    is full it becomes the old one, and pieces in use move on (some 200 bytes each).
+    Memory is bounded: beyond ``MEMORY`` pieces (some 50 bytes each) only the half that is used most is kept,
+    and none of over 32 bytes.
     """
 
     def __init__(self, vocabulary: bytes):
@@ -118,11 +120,13 @@ class Encoder:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
         if max(ranks.values()) >= 1 << 16:
             raise ValueError("ids must fit 16 bits")
-        self._plain = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self._pieces = _Pieces(self._plain, {})
-        (self._between,) = self._plain("\0")
-        self._other_space = re.compile(r"[^\S \n]")
-        self._gap = re.compile(r"\s\s")
+        self._plain, self._words = (tiktoken.Encoding("own", pat_str=p, mergeable_ranks=ranks, special_tokens={}).encode_ordinary for p in (PATTERN, _WORDS_PATTERN))
+        (self._between,) = self._words("\n")
+        self._meeting = re.compile(rf"[{_WIDE}]\s|\s[{_WIDE}]")
+        # pieces, how often they were used, where their ids start, how many these are, ids
+        self._pieces = pa.array([], pa.large_binary())
+        self._uses, self._first, self._sizes = (np.zeros(0, np.int64) for _ in range(3))
+        self._ids = np.zeros(0, "<u2")
 
     @classmethod
     def of(cls, vocabulary: bytes) -> "Encoder":
@@ -131,57 +135,105 @@ class Encoder:
             _WORKER[key] = cls(vocabulary)
         return _WORKER[key]
 
-    def _cut_anywhere(self, text: str) -> bool:
-        """Do no two white spaces meet?"""
-        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or "\0" in text:
-            return False
-        if text.isascii() and not any(c in text for c in "\t\r\v\f\x1c\x1d\x1e\x1f"):
-            return True
-        return not self._other_space.search(text) or not self._gap.search(text)
-
     def encode(self, texts: pa.StringArray) -> Iterator[bytes]:
         """Packed ids of each text, as the plain encoder gives them."""
-        plain = texts.to_pylist()
+        for whole, edges, pieces in self._slices(texts):
+            sizes = self._sizes[pieces]
+            flat = self._ids[_runs(self._first[pieces], sizes)].tobytes()
+            at = (2 * np.r_[0, np.cumsum(sizes)][edges]).tolist()
+            for n, (start, end) in enumerate(zip(at, at[1:])):
+                yield whole[n].tobytes() if n in whole else flat[start:end]
+
+    def lengths(self, texts: pa.StringArray) -> Iterator[int]:
+        """Number of ids of each text."""
+        for whole, edges, pieces in self._slices(texts):
+            sizes = np.diff(np.r_[0, np.cumsum(self._sizes[pieces])][edges])
+            for n, size in enumerate(sizes.tolist()):
+                yield len(whole[n]) if n in whole else size
+
+    def _slices(self, texts: pa.StringArray) -> Iterator[tuple[dict[int, np.ndarray], np.ndarray, np.ndarray]]:
+        """For slices of about SLICE bytes: ids of the texts that cannot be cut, first piece of each text (and the end),
+        and the pieces, as numbers among those remembered."""
+        texts = texts.cast(pa.large_string())
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
         at = 0
-        while at < len(plain):  # slices of about SLICE characters
-            stop, size = at, 0
-            while stop < len(plain) and size < SLICE:
-                size += len(plain[stop])
-                stop += 1
-            yield from self._slice(plain[at:stop])
+        while at < len(texts):
+            stop = min(len(texts), max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE))))
+            whole, edges, pieces = self._slice(texts[at:stop], offsets[at : stop + 1])
+            yield whole, edges, pieces
+            self._forget(pieces)
             at = stop
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode all unknown words of letters in one call: the mark between them is always an id of its own."""
-        new = [p for p in set(pieces).difference(self._pieces, self._pieces.before) if p.isalpha() or (p[0] == " " and p[1:].isalpha())]
-        if new:
-            ids = np.array(self._plain("\0".join(new)), "<u2")
-            ends = np.r_[np.flatnonzero(ids == self._between), len(ids)] * 2
-            packed, at = ids.tobytes(), 0
-            for word, end in zip(new, ends.tolist(), strict=True):
-                self._pieces[word] = packed[at:end]
-                at = end + 2
-
-    def _slice(self, texts: list[str]) -> Iterator[bytes]:
-        simple = [self._cut_anywhere(t) for t in texts]
-        if len(self._pieces) > MEMORY:
-            self._pieces = _Pieces(self._plain, dict(self._pieces))
-        cut = pc.replace_substring(pc.replace_substring(pa.array([t if ok else "" for t, ok in zip(texts, simple)], pa.large_string()), " ", "\0 "), "\n", "\0\n\0")
-        lists = pc.split_pattern(cut, "\0")
-        # the distinct pieces are looked up once; numpy puts their ids in the places of the pieces
-        coded = lists.flatten().dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
-        self._learn(pieces)
-        ids = list(map(self._pieces.__getitem__, pieces))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
-        known, first = np.frombuffer(b"".join(ids), "<u2"), np.cumsum(sizes) - sizes
-        piece = coded.indices.to_numpy()
-        count = sizes[piece]
-        ends = np.cumsum(count)
-        flat = known[np.repeat(first[piece] - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)]
-        edges = np.r_[0, ends][lists.offsets.to_numpy()]
-        for n, text in enumerate(texts):
-            yield flat[edges[n] : edges[n + 1]].tobytes() if simple[n] else np.array(self._plain(text), "<u2").tobytes()
+    def _slice(self, texts: pa.LargeStringArray, offsets: np.ndarray) -> tuple[dict[int, np.ndarray], np.ndarray, np.ndarray]:
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+        offsets, kinds, whole = offsets - offsets[0], _KINDS[data], {}
+        for n in np.unique(np.searchsorted(offsets, np.flatnonzero(kinds & _LEAD), "right") - 1).tolist():
+            text = texts[n].as_py()
+            if self._meeting.search(text):
+                whole[n] = np.array(self._plain(text), "<u2")
+        if whole:
+            sizes = np.diff(offsets)
+            cut = np.zeros(len(sizes), bool)
+            cut[list(whole)] = True
+            keep = np.repeat(~cut, sizes)
+            data, kinds, offsets = data[keep], kinds[keep], np.r_[0, np.cumsum(np.where(cut, 0, sizes))]
+        starts = self._starts(kinds, offsets)
+        parts = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.r_[starts, len(data)]), pa.py_buffer(data)])
+        found = pc.index_in(parts, value_set=self._pieces)
+        pieces = pc.fill_null(found, -1).to_numpy().astype(np.int64)
+        if found.null_count:
+            new = parts.filter(found.is_null()).dictionary_encode()
+            pieces[pieces < 0] = len(self._pieces) + new.indices.to_numpy()
+            self._learn(new.dictionary)
+        return whole, np.searchsorted(starts, offsets), pieces
+
+    @staticmethod
+    def _starts(kinds: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where the pieces of texts that lie one after the other start."""
+        cut = np.zeros(len(kinds), bool)
+        if len(cut):
+            filled = offsets[:-1][np.diff(offsets) > 0]
+            space = (kinds & _SPACE) > 0
+            before, after = space[:-1], space[1:]
+            last = np.zeros(len(cut), bool)  # of a run, with other characters of its text behind it
+            last[:-1] = before & ~after
+            last[filled[1:] - 1] = False
+            cut[1:] = after & ~before | last[1:] | ~after & before & ((kinds[:-1] & _BLANK) == 0) | ((kinds[1:] & _MARK) > 0) & ((kinds[:-1] & _ALNUM) > 0)
+            cut[filled] = True
+        return np.flatnonzero(cut)
+
+    def _learn(self, new: pa.LargeBinaryArray) -> None:
+        """Remember new pieces. Words are encoded in one call: a line feed between them is always a match, and an id, of its own."""
+        texts = new.cast(pa.large_string())
+        word = pc.match_substring_regex(texts, _WORD)
+        ids = np.array(self._words("\n".join(texts.filter(word).to_pylist())), "<u2")
+        ends = np.r_[np.flatnonzero(ids == self._between), len(ids)]
+        first, sizes = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        words = np.flatnonzero(word.to_numpy(zero_copy_only=False))
+        if len(words):
+            first[words] = np.r_[0, ends[:-1] + 1]
+            sizes[words] = ends - first[words]
+        others = [self._plain(t) for t in texts.filter(pc.invert(word)).to_pylist()]
+        if others:
+            at = np.flatnonzero(~word.to_numpy(zero_copy_only=False))
+            sizes[at] = [len(x) for x in others]
+            first[at] = len(ids) + np.cumsum(sizes[at]) - sizes[at]
+            ids = np.r_[ids, np.array([i for x in others for i in x], "<u2")]
+        self._pieces = pa.concat_arrays([self._pieces, new])
+        self._uses = np.r_[self._uses, np.zeros(len(new), np.int64)]
+        self._first, self._sizes, self._ids = np.r_[self._first, len(self._ids) + first], np.r_[self._sizes, sizes], np.r_[self._ids, ids]
+
+    def _forget(self, used: np.ndarray) -> None:
+        """Beyond MEMORY pieces, or if some are long, keep the half that was used most, counting past uses less and less."""
+        self._uses += np.bincount(used, minlength=len(self._uses))
+        if len(self._pieces) <= MEMORY and self._pieces.nbytes <= 32 * MEMORY:
+            return
+        keep = pc.binary_length(self._pieces).to_numpy() <= 32
+        if MEMORY // 2 < len(keep):
+            keep[np.argpartition(self._uses, len(keep) - MEMORY // 2 - 1)[: len(keep) - MEMORY // 2]] = False
+        self._pieces, self._uses = self._pieces.filter(pa.array(keep)), self._uses[keep] // 2
+        first, self._sizes = self._first[keep], self._sizes[keep]
+        self._ids, self._first = self._ids[_runs(first, self._sizes)], np.cumsum(self._sizes) - self._sizes
 
 
 # ---- permutation -----------------------------------------------------------------------------
@@ -219,25 +271,27 @@ def _partition() -> int:
     return context.partitionId() if context else 0
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[tuple[int | None, bytes]]:
-    encoder = Encoder.of(vocabulary.value)
-    for batch in batches:
-        for doc_id, ids in zip(batch["doc_id"].to_pylist(), encoder.encode(batch["t"])):
-            yield doc_id, ids + END.to_bytes(2, "little")
-
-
-def _check(so_far: int, doc_id: int | None, ids: bytes) -> int:
-    return zlib.crc32(f"{doc_id}:{len(ids)};".encode(), so_far)
+def _check(so_far: int, doc_id: int | None, size: int) -> int:
+    return zlib.crc32(f"{doc_id}:{size};".encode(), so_far)
 
 
 def _count(batches: Iterator[pa.RecordBatch], vocabulary, seq_len: int) -> Iterator[pa.RecordBatch]:
+    encoder = Encoder.of(vocabulary.value)
     sequences = check = 0
-    for doc_id, ids in _encoded(batches, vocabulary):
-        sequences += -(-len(ids) // (2 * seq_len))
-        check = _check(check, doc_id, ids)
+    for batch in batches:
+        for doc_id, size in zip(batch["doc_id"].to_pylist(), encoder.lengths(batch["t"]), strict=True):
+            sequences += -(-(size + 1) // seq_len)  # the end id counts
+            check = _check(check, doc_id, size + 1)
     yield pa.record_batch([pa.array([_partition()], pa.int64()), pa.array([sequences], pa.int64()), pa.array([check], pa.int64())], names=["part", "sequences", "check"])
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[tuple[int | None, bytes]]:
+    encoder = Encoder.of(vocabulary.value)
+    for batch in batches:
+        for doc_id, ids in zip(batch["doc_id"].to_pylist(), encoder.encode(batch["t"]), strict=True):
+            yield doc_id, ids + END.to_bytes(2, "little")
+
+
 def _emit(batches: Iterator[pa.RecordBatch], vocabulary, parts, layout: Layout) -> Iterator[pa.RecordBatch]:
     first, expected = parts.value[_partition()]
     check, number, records = 0, first, []
@@ -248,7 +302,7 @@ def _emit(batches: Iterator[pa.RecordBatch], vocabulary, parts, layout: Layout)
         return pa.record_batch([pa.array(slots), pa.array(records, pa.binary())], names=["slot", "record"])
 
     for doc_id, ids in _encoded(batches, vocabulary):
-        check = _check(check, doc_id, ids)
+        check = _check(check, doc_id, len(ids) // 2)
         for nth, at in enumerate(range(0, len(ids), width)):
             part = ids[at : at + width]
             head = _HEADER.pack(doc_id or 0, nth, len(part) // 2, doc_id is None)

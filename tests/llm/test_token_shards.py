@@ -45,6 +45,35 @@ def test_encoder_in_small_slices_and_memory(plain, monkeypatch):
         assert np.frombuffer(ids, "<u2").tolist() == plain(text)
 
 
+def test_encoder_on_mixed_white_space_and_marks(plain, monkeypatch):
+    marks = [" ", "  ", "\n", "\n\n", "\t", "\r\n", "\x0b", "\x1c", "\0", "\x85", "\xa0", "\u2003", "\u3000", ".", ",", "?!", "'s", "'", "-", "(", "\u201c", "a", "Word", "7", "\xe9", "\u65e5", "\U0001F600"]
+    rng = np.random.default_rng(5)
+    texts = ["".join(marks[i] for i in rng.integers(0, len(marks), rng.integers(0, 12))) for _ in range(3000)]
+    for size, memory in [(1, 3), (40, 0), (1 << 22, 1 << 20)]:
+        monkeypatch.setattr(T, "SLICE", size)
+        monkeypatch.setattr(T, "MEMORY", memory)
+        encoder = T.Encoder(VOCABULARY)
+        given = pa.array(["before", *texts])[1:]
+        expect = [plain(t) for t in texts]
+        assert [np.frombuffer(ids, "<u2").tolist() for ids in encoder.encode(given)] == expect
+        assert list(encoder.lengths(given)) == list(map(len, expect))
+
+
+def test_known_words_are_not_merged_again(plain):
+    """Paragraphs, marks and new words go to the library once, in one call; the counting pass makes no ids."""
+    encoder, calls = T.Encoder(VOCABULARY), []
+    for name in ("_plain", "_words"):
+        merge = getattr(encoder, name, None)
+        setattr(encoder, name, lambda text, merge=merge: calls.append(text) or merge(text))
+    texts = pa.array([f"New paragraph{i},\n\nwith  word{i}; and\ttab.\r\n" for i in range(200)])
+    lengths = [len(plain(t)) for t in texts.to_pylist()]
+    assert list(encoder.lengths(texts)) == lengths
+    assert len(calls) < 10 and sum(map(len, calls)) < 200 * 30
+    calls.clear()
+    assert [len(ids) // 2 for ids in encoder.encode(texts)] == lengths
+    assert not any(calls)
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 7, 64, 1000, 4097])
 def test_permutation_is_a_bijection(size):
     out = T.permute(np.arange(size), size, 42)
